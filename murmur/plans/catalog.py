@@ -9,6 +9,7 @@ from murmur.plans.registry import REGISTRY, Entry
 _MODULES = (
     "murmur.plans.stats_queries",
     "murmur.plans.profile_queries",
+    "murmur.plans.recommend_queries",
 )
 
 
