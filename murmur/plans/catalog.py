@@ -10,6 +10,7 @@ _MODULES = (
     "murmur.plans.stats_queries",
     "murmur.plans.profile_queries",
     "murmur.plans.recommend_queries",
+    "murmur.plans.text_queries",
 )
 
 

@@ -115,3 +115,27 @@ def sentiment_table(posts: DataFrame) -> DataFrame:
 def topic_table(posts: DataFrame) -> DataFrame:
     """Posts with their topic result (``confidence`` doubles as topic confidence)."""
     return posts.drop("label", "score")
+
+
+def raw_messages(posts: DataFrame) -> DataFrame:
+    """Posts as stream messages: one JSON text per row in column ``json_data``
+    (the 21-field message contract; NULL fields are omitted, counters are
+    JSON numbers, ``created_at`` is ``yyyy-MM-dd HH:mm`` text)."""
+    msg = F.struct(
+        "id", "bid", "user_id", "screen_name", "text",
+        F.concat(F.lit("post/"), F.col("bid")).alias("article_url"),
+        "location",
+        F.lit(None).cast("string").alias("at_users"),
+        "topics",
+        F.lit(None).cast("string").alias("pics"),
+        F.lit(None).cast("string").alias("video_url"),
+        "reposts_count", "comments_count", "attitudes_count",
+        F.date_format("created_at", "yyyy-MM-dd HH:mm").alias("created_at"),
+        F.lit("feed").alias("source"),
+        F.lit(None).cast("string").alias("retweet_id"),
+        F.lit(None).cast("string").alias("ip"),
+        "user_authentication",
+        F.lit(None).cast("string").alias("vip_type"),
+        (F.col("user_id").cast("int") % 7).alias("vip_level"),
+    )
+    return posts.select(F.to_json(msg).alias("json_data"))

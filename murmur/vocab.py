@@ -55,6 +55,10 @@ class Vocab:
     post_tag_names: tuple[str, str, str] = ("topic", "mention", "plain")
     quality_classes: tuple[str, str] = ("valid", "spam")
     recall_reasons: tuple[str, str] = ("region", "time_period")
+    # stand-in rule scorers (the original calls external models)
+    positive_terms: tuple[str, ...] = ()
+    negative_terms: tuple[str, ...] = ()
+    topic_terms: tuple[tuple[str, tuple[str, ...]], ...] = ()
     extra: dict = field(default_factory=dict)
 
     def with_(self, **kw) -> "Vocab":
@@ -95,10 +99,15 @@ REFERENCE = Vocab(
 # --- end FIXED VALUES ---
 
 # The README declares a sensitive-term trend and identity classes without
-# giving lists; these defaults are our own choice.
+# giving lists, and the sentiment / topic models are external services; the
+# lists below (and the lexicons of the stand-in rule scorers) are our own choice.
 REFERENCE = REFERENCE.with_(
     sensitive_terms=("投诉", "举报", "维权", "事故"),
     auth_class_markers=(("官方", "蓝V"), ("机构",), ("名人", "明星")),
+    positive_terms=("点赞", "感谢", "满意", "支持", "好评"),
+    negative_terms=("投诉", "差评", "愤怒", "失望", "举报"),
+    topic_terms=(("城市问题", ("道路", "交通", "城管")), ("民生服务", ("医保", "社保", "教育")),
+                 ("公众反馈/举报", ("投诉", "举报", "反映")), ("政务发布", ("通知", "公告", "发布"))),
 )
 
 # English vocabulary of the posts test view (FIXTURES.md section C).  The term
@@ -120,4 +129,8 @@ FIXTURE = Vocab(
     blocklist=("Apache",),
     sensitive_terms=("token", "license", "free", "MIT"),
     auth_class_markers=(("Official",), ("Institution",), ("Celebrity",)),
+    positive_terms=("and", "und", "les", "los"),
+    negative_terms=("the", "der", "des", "nicht"),
+    topic_terms=(("city", ("the", "ville")), ("livelihood", ("der", "die")),
+                 ("feedback", ("les", "des", "token")), ("government", ("los", "las", "MIT"))),
 )
