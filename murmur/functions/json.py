@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from murmur.schemas import INT_FIELDS, POST_RAW_FIELDS
+from murmur.schemas import INT_FIELDS, POST_RAW, POST_RAW_FIELDS
 
 
 def field(c: Column, name: str) -> Column:
@@ -17,10 +17,21 @@ def to_int(c: Column) -> Column:
     return c.try_cast("int")
 
 
-def post_fields(c: Column) -> list[Column]:
-    """The 21 message fields, counters and level as int."""
+def post_fields_fieldwise(c: Column) -> list[Column]:
+    """The 21 message fields by one path extraction each (re-parses the text per field)."""
     out = []
     for name in POST_RAW_FIELDS:
         v = field(c, name)
         out.append((to_int(v) if name in INT_FIELDS else v).alias(name))
     return out
+
+
+def post_fields(c: Column) -> list[Column]:
+    """The 21 message fields from a single parse, counters and level as int.
+
+    Every field is declared as a string, so a JSON number arrives as its
+    text (as path extraction gives it) and a quoted ``"7"`` still becomes 7
+    after ``try_cast``; bad JSON, a missing field or JSON null give NULL.
+    """
+    s = F.from_json(c, POST_RAW, {"mode": "PERMISSIVE"})
+    return [(to_int(s[name]) if name in INT_FIELDS else s[name]).alias(name) for name in POST_RAW_FIELDS]

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from murmur.functions.time import day_key, period_of_hour
-from murmur.sources.tables import table
+from murmur.sources.tables import ensure_parallelism, table
 from murmur.vocab import FIXTURE, Vocab
 
 AUTH_BY_MOD6 = ("", "Official media", "Institution", "Celebrity")
@@ -28,7 +28,8 @@ def _nation_region(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def posts_view(spark: SparkSession, sf_dir: str, with_text: bool = False,
                vocab: Vocab = FIXTURE) -> DataFrame:
-    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    e = ensure_parallelism(
+        table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"))
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     nr = _nation_region(spark, sf_dir)
 

@@ -16,6 +16,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    A small file is one split, and when every later join is a broadcast the
+    whole (possibly text-heavy) pipeline would run in one task.  Large inputs
+    already have many splits and are returned unchanged (no shuffle).
+    """
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def read_table_dedup(df: DataFrame, keys=("dt", "id"), order_col: str = "created_at") -> DataFrame:
     """A post table read as-is, one row per (dt, id): the newest copy wins.
 
