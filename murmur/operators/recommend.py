@@ -134,51 +134,117 @@ def skyband_prune(cands: DataFrame, group_cols: list[str], top_n: int = 15,
     return stage2.select(*cols)
 
 
-def join_small_or_salted(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
-                         max_broadcast_rows: int = 500_000, salt_buckets: int = 64) -> DataFrame:
-    """Equi-join where ``small`` is usually small but not provably so.
-
-    ``small`` is materialised once (checkpoint in the shared folder) and
-    counted; under ``max_broadcast_rows`` it is broadcast, otherwise both
-    sides get a salt (``big`` by hash, ``small`` replicated per salt) so no
-    key concentrates in one task.
+def join_bounded(big: DataFrame, small: DataFrame, keys: list[tuple[str, str]], small_rows: int,
+                 max_broadcast_rows: int = 500_000, salt_buckets: int = 64) -> DataFrame:
+    """Equi-join on ``keys`` ((big column, small column) pairs) given a proven
+    upper bound ``small_rows`` on the size of ``small``.
+
+    Within ``max_broadcast_rows`` the small side is broadcast (the big side is
+    never shuffled, so a hot key costs nothing); beyond it both sides get a
+    salt (``big`` by hash, ``small`` replicated per salt) so that no key
+    concentrates in one task.
     """
-    small = small.checkpoint(eager=True)
-    n = small.count()
-    cond_cols = [big[big_key] == small[small_key]]
-    if n <= max_broadcast_rows:
-        return big.join(F.broadcast(small), cond_cols, "inner")
-    b = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(salt_buckets)))
-    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-    return b.join(s, (b[big_key] == s[small_key]) & (b["_salt"] == s["_salt"]), "inner").drop("_salt")
+    if small_rows <= max_broadcast_rows:
+        s = F.broadcast(small)
+        return big.join(s, [big[b] == s[k] for b, k in keys], "inner")
+    b = big.withColumn("_salt_b", F.pmod(F.xxhash64(*big.columns), F.lit(salt_buckets)))
+    s = small.withColumn("_salt_s", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    cond = [b[x] == s[k] for x, k in keys] + [b["_salt_b"] == s["_salt_s"]]
+    return b.join(s, cond, "inner").drop("_salt_b", "_salt_s")
 
 
 # --- recall -------------------------------------------------------------------------
 
-def _recall(users: DataFrame, user_col: str, cands: DataFrame, cand_col: str, reason: str,
-            prune: bool, top_n: int) -> DataFrame:
-    u = users.select(F.col("user_id").cast("string").alias("target_user_id"), F.col(user_col).alias("_ukey"))
-    c = cands.select("id", "author_id", "topic_label", cand_col, "final_score", "score")
-    if prune:
-        # a NULL key never joins; pruning it would be wasted work
-        c = skyband_prune(c.where(F.col(cand_col).isNotNull()), [cand_col, "topic_label"], top_n)
-        j = join_small_or_salted(u, c, "_ukey", cand_col)
-    else:
-        j = u.join(c, u["_ukey"] == c[cand_col], "inner")
-    return j.select("target_user_id", "id", "author_id", "topic_label", "final_score", "score",
-                    F.lit(reason).alias("recall_reason"))
-
-
-def recall_region(region_profile: DataFrame, cands: DataFrame, prune: bool = False,
-                  top_n: int = 15, vocab: Vocab = REFERENCE) -> DataFrame:
-    """Users x posts whose (unsplit) location equals the user's top region."""
-    return _recall(region_profile, "top_focus_region", cands, "location", vocab.recall_reasons[0], prune, top_n)
+PROB_COLS = ("life_prob", "night_cat_prob", "big_v_weight", "vent_prob")
+RECALL_COLS = ("target_user_id", "id", "author_id", "topic_label", "final_score", "score", "recall_reason")
 
 
-def recall_time(time_profile: DataFrame, cands: DataFrame, prune: bool = False,
-                top_n: int = 15, vocab: Vocab = REFERENCE) -> DataFrame:
-    """Users x posts of the user's preferred day period."""
-    return _recall(time_profile, "prefer_time_period", cands, "time_period", vocab.recall_reasons[1], prune, top_n)
+def user_classes(profile: DataFrame, user_col: str, clusters: DataFrame | None) -> DataFrame:
+    """(target_user_id, _key, four cluster probabilities; missing -> 0.0)."""
+    u = (profile.select(F.col("user_id").cast("string").alias("target_user_id"), F.col(user_col).alias("_key"))
+         .where(F.col("_key").isNotNull()))
+    if clusters is None:
+        return u.select("*", *[F.lit(0.0).alias(p) for p in PROB_COLS])
+    c = clusters.select(F.col("user_id").cast("string").alias("_uid"),
+                        *[F.col(f"prob_{i}").alias(p) for i, p in enumerate(PROB_COLS)])
+    j = u.join(c, u["target_user_id"] == c["_uid"], "left").drop("_uid")
+    return j.withColumns({p: F.coalesce(F.col(p), F.lit(0.0)) for p in PROB_COLS})
+
+
+def _plain_recall(users: DataFrame, cands: DataFrame, cand_col: str, reason: str) -> DataFrame:
+    u = users.select("target_user_id", "_key")
+    c = cands.select("id", "author_id", "topic_label", F.col(cand_col).alias("_ckey"), "final_score", "score")
+    j = u.join(c, u["_key"] == c["_ckey"], "inner")
+    return j.select(*RECALL_COLS[:-1], F.lit(reason).alias("recall_reason"))
+
+
+def _class_recall(users: DataFrame, cands: DataFrame, cand_col: str, reason: str, top_n: int,
+                  vocab: Vocab, bonus_weight: float, skyband_min_classes: int) -> DataFrame:
+    """Exact per-user channel top N without a users x posts join.
+
+    Users with equal probabilities share one ranking per key; each (key,
+    class) ranks its posts once and keeps the first ``2 * top_n``
+    (``row_number() <= literal``: a partial WindowGroupLimit before the
+    shuffle).  Users join their class list (at most ``2 * top_n`` rows each).
+    A user owning more than ``top_n`` of those rows -- at most one per list --
+    falls back to the full posts of the key.  The one counted quantity is the
+    number of classes K; every broadcast below is bounded by it (classes: K
+    rows, lists: K * 2N rows, fallback users: at most one per list).
+    """
+    depth = 2 * top_n
+    users = users.checkpoint(eager=True)          # profiles + clusters computed once
+    c = (cands.select("id", "author_id", "topic_label", F.col(cand_col).alias("_ckey"), "final_score", "score")
+         .where(F.col("_ckey").isNotNull()))
+    classes = users.select(F.col("_key").alias("_k2"), *[F.col(p).alias("_c_" + p) for p in PROB_COLS]).distinct()
+    k = classes.count()
+    if k > skyband_min_classes:
+        # many distinct probability vectors: shrink each (key, topic) group first
+        c = skyband_prune(c, ["_ckey", "topic_label"], top_n).checkpoint(eager=True)
+    cc = join_bounded(c, classes, [("_ckey", "_k2")], k)
+    cc = cc.withColumns({p: F.col("_c_" + p) for p in PROB_COLS})
+    score = F.col("final_score") * (F.lit(1.0) + personal_bonus(vocab) * F.lit(bonus_weight))
+    w = Window.partitionBy("_ckey", *PROB_COLS).orderBy(F.desc("_s"), F.asc("id"))
+    lists = (cc.withColumn("_s", score).withColumn("_rank", F.row_number().over(w))
+             .where(F.col("_rank") <= depth)
+             .select("_ckey", *[F.col(p).alias("_l_" + p) for p in PROB_COLS], "_rank", "id", "author_id",
+                     "topic_label", "final_score", "score"))
+    ul = join_bounded(users, lists, [("_key", "_ckey")] + [(p, "_l_" + p) for p in PROB_COLS], k * depth)
+    ok = F.col("author_id").isNotNull() & (F.col("author_id") != F.col("target_user_id"))
+    per_user = Window.partitionBy("target_user_id")
+    ul = (ul.withColumn("_ok", F.sum(ok.cast("int")).over(per_user))
+            .withColumn("_len", F.count(F.lit(1)).over(per_user)))
+    fallback = (F.col("_ok") < top_n) & (F.col("_len") >= depth)
+    exact = ul.where(~fallback & ok).select(*RECALL_COLS[:-1])
+    fb_users = ul.where(fallback).select("target_user_id", "_key").distinct()
+    fb = join_bounded(c, fb_users, [("_ckey", "_key")], k).where(ok).select(*RECALL_COLS[:-1])
+    return exact.unionByName(fb).withColumn("recall_reason", F.lit(reason))
+
+
+def _recall(profile: DataFrame, user_col: str, cands: DataFrame, cand_col: str, reason: str,
+            prune: bool, top_n: int, clusters: DataFrame | None, vocab: Vocab, bonus_weight: float,
+            skyband_min_classes: int) -> DataFrame:
+    users = user_classes(profile, user_col, clusters)
+    if not prune:
+        return _plain_recall(users, cands, cand_col, reason)
+    return _class_recall(users, cands, cand_col, reason, top_n, vocab, bonus_weight, skyband_min_classes)
+
+
+def recall_region(region_profile: DataFrame, cands: DataFrame, prune: bool = False, top_n: int = 15,
+                  vocab: Vocab = REFERENCE, clusters: DataFrame | None = None, bonus_weight: float = 1.5,
+                  skyband_min_classes: int = 64) -> DataFrame:
+    """Users x posts whose (unsplit) location equals the user's top region;
+    with ``prune`` only rows that can reach the user's top N (exact when
+    ``clusters`` is the same frame later given to :func:`personalized_rank`)."""
+    return _recall(region_profile, "top_focus_region", cands, "location", vocab.recall_reasons[0], prune,
+                   top_n, clusters, vocab, bonus_weight, skyband_min_classes)
+
+
+def recall_time(time_profile: DataFrame, cands: DataFrame, prune: bool = False, top_n: int = 15,
+                vocab: Vocab = REFERENCE, clusters: DataFrame | None = None, bonus_weight: float = 1.5,
+                skyband_min_classes: int = 64) -> DataFrame:
+    """Users x posts of the user's preferred day period; ``prune`` as above."""
+    return _recall(time_profile, "prefer_time_period", cands, "time_period", vocab.recall_reasons[1], prune,
+                   top_n, clusters, vocab, bonus_weight, skyband_min_classes)
 
 
 def recall_union(region_rec: DataFrame, time_rec: DataFrame, vocab: Vocab = REFERENCE) -> DataFrame:
@@ -244,7 +310,10 @@ def recommend(topics: DataFrame, sentiment: DataFrame, time_profile: DataFrame,
     """
     pool = candidate_pool(topics, as_of, days)
     cands = candidate_scored(pool.drop("text") if "text" in pool.columns else pool, sentiment)
-    rec = recall_union(recall_region(region_profile, cands, prune, n, vocab),
-                       recall_time(time_profile, cands, prune, n, vocab), vocab)
+    if prune:
+        cands = cands.checkpoint(eager=True)      # read by both channels and their fallbacks
+        clusters = clusters.checkpoint(eager=True)  # read by both channels and the final scoring
+    rec = recall_union(recall_region(region_profile, cands, prune, n, vocab, clusters),
+                       recall_time(time_profile, cands, prune, n, vocab, clusters), vocab)
     ranked = personalized_rank(rec, clusters, vocab)
     return recommend_topn(ranked, pool, n, digits, run_ts)

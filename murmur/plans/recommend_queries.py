@@ -10,7 +10,7 @@ from murmur.operators import recommend as RC
 from murmur.plans.oracle import in_list, q, sround, with_posts
 from murmur.plans.profile_queries import PROFILE_CTES
 from murmur.plans.registry import register
-from murmur.sources.posts_view import posts_view, posts_with_text, sentiment_table, topic_table
+from murmur.sources.posts_view import attach_text, posts_view, posts_with_text, sentiment_table, topic_table
 from murmur.vocab import FIXTURE as V
 
 AS_OF = "2024-01-31"      # the fixture covers 2024-01-01 .. 2024-01-30
@@ -34,14 +34,18 @@ def _scored_cands(s, d):
 
 
 def _recommend(s, d, model=False):
-    topics, scored = _frames(s, d, text=True)
+    topics, scored = _frames(s, d)
     if model:
         seg = CL.segment_users(CL.user_features(scored, V), V)
         clusters = CL.cluster_profile(seg, CL.assign_clusters(CL.fit_clusters(seg), seg))
     else:
         clusters = CL.cluster_users(scored, V)
-    return RC.recommend(topics, scored, PR.user_time_profile(scored), PR.user_region_profile(scored),
-                        clusters, AS_OF, V, n=15, digits=6)
+    top = RC.recommend(topics, scored, PR.user_time_profile(scored), PR.user_region_profile(scored),
+                       clusters, AS_OF, V, n=15, digits=6)
+    # texts are joined for the final top-N rows only
+    cols = ["user_id", "post_id", "bid", "screen_name", "text", "topic_label", "location", "score",
+            "recall_reason"]
+    return attach_text(s, d, top, "post_id").select(*cols)
 
 
 _D = "CAST({} AS DOUBLE)"

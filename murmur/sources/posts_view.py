@@ -140,3 +140,12 @@ def raw_messages(posts: DataFrame) -> DataFrame:
         (F.col("user_id").cast("int") % 7).alias("vip_level"),
     )
     return posts.select(F.to_json(msg).alias("json_data"))
+
+
+def attach_text(spark: SparkSession, sf_dir: str, df: DataFrame, id_col: str = "id") -> DataFrame:
+    """Add ``text`` to rows that carry a post id (late materialisation of texts)."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("_doc"), "text")
+    n_docs = table(spark, sf_dir, "documents").select(F.count(F.lit(1))).scalar()
+    return (df.withColumn("_dkey", F.col(id_col).cast("long") % n_docs)
+              .join(docs, F.col("_dkey") == F.col("_doc"), "left")
+              .drop("_dkey", "_doc"))

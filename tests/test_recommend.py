@@ -44,21 +44,37 @@ def _synthetic(spark, n_posts=600, n_users=40, seed=7):
     return c, u, cl
 
 
-def _topn(cands, users, clusters, prune, n):
-    rec = RC.recall_union(RC.recall_region(users, cands, prune, n, V), RC.recall_time(users, cands, prune, n, V), V)
+def _topn(cands, users, clusters, prune, n, skyband_min_classes=64):
+    rec = RC.recall_union(
+        RC.recall_region(users, cands, prune, n, V, clusters, skyband_min_classes=skyband_min_classes),
+        RC.recall_time(users, cands, prune, n, V, clusters, skyband_min_classes=skyband_min_classes), V)
     ranked = RC.personalized_rank(rec, clusters, V)
     return RC.recommend_topn(ranked, cands.withColumn("bid", F.col("id")), n)
 
 
-@pytest.mark.parametrize("n", [1, 3, 15])
-def test_pruned_equals_plain_synthetic(spark, n):
+@pytest.mark.parametrize("n,sky", [(1, 64), (3, 0), (15, 64), (15, 0)])
+def test_pruned_equals_plain_synthetic(spark, n, sky):
     c, u, cl = _synthetic(spark)
     plain = _rows(_topn(c, u, cl, False, n))
-    pruned = _rows(_topn(c, u, cl, True, n))
+    pruned = _rows(_topn(c, u, cl, True, n, sky))
     assert plain == pruned
     assert len(plain) > 0
 
 
+def test_shared_classes_and_prolific_author_fallback(spark):
+    """Most users share one probability class; one author owns the best posts of a group."""
+    rows = [(f"q{i:03d}", "7", "city", "A", PERIODS[0], 0.99 - i * 0.001, 0.1) for i in range(40)]
+    rows += [(f"r{i:03d}", str(10 + i % 9), "city", "A", PERIODS[0], 0.6 + (i % 7) * 0.01, 0.3) for i in range(60)]
+    c = spark.createDataFrame(rows, "id string, author_id string, topic_label string, location string, "
+                                    "time_period string, final_score double, score double")
+    u = spark.createDataFrame([(str(x), PERIODS[0], "A") for x in range(30)],
+                              "user_id string, prefer_time_period string, top_focus_region string")
+    cl = spark.createDataFrame([(str(x), 0.25, 0.25, 0.25, 0.25) for x in range(30) if x != 3],
+                               "user_id string, prob_0 double, prob_1 double, prob_2 double, prob_3 double")
+    for n in (3, 15):
+        assert _rows(_topn(c, u, cl, False, n)) == _rows(_topn(c, u, cl, True, n))
+
+
 def test_prune_actually_prunes(spark):
     c, _, _ = _synthetic(spark, n_posts=2000)
     kept = RC.skyband_prune(c, ["time_period", "topic_label"], top_n=3).count()
