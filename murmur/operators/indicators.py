@@ -67,6 +67,16 @@ def grouping_sets_overview(posts: DataFrame) -> DataFrame:
 
 # --- sentiment (scored table) ----------------------------------------------
 
+def sentiment_overview(scored: DataFrame) -> DataFrame:
+    """Label, period x label and identity x label counts in one scan and one shuffle."""
+    g = scored.groupingSets(
+        [[F.col("label")], [F.col("time_period"), F.col("label")], [F.col("user_authentication"), F.col("label")]],
+        "time_period", "user_authentication", "label")
+    return g.agg(F.grouping("time_period").cast("int").alias("g_period"),
+                 F.grouping("user_authentication").cast("int").alias("g_auth"),
+                 F.count(F.lit(1)).alias("value"))
+
+
 def label_count(scored: DataFrame, vocab: Vocab = REFERENCE, run_ts: str | None = None) -> DataFrame:
     known = scored.where(F.col("label").isin(vocab.positive, vocab.negative, vocab.neutral))
     return stamp(_count(known, ["label"], "value"), run_ts)

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from murmur.operators import clusters as CL
+from murmur.operators.metrics import observed
 from murmur.operators import indicators as IND
 from murmur.operators import profiles as PR
 from murmur.operators import recommend as RC
@@ -68,12 +69,10 @@ def score_job(spark: SparkSession, posts: DataFrame, done_path: str, day: str, s
         done = spark.read.parquet(done_path).where(F.col("dt") == day)
     except Exception:  # noqa: BLE001 - first run, nothing scored yet
         done = posts.limit(0).select("id")
-    new = SC.score_new_posts(read_day(posts, day), done, scorer, run_ts, stamp_col)
-    new = new.select(*out_cols).checkpoint(eager=True)
-    n = new.count()
-    if n:
-        new.write.mode("append").partitionBy("dt").parquet(done_path)
-    return n
+    new = SC.score_new_posts(read_day(posts, day), done, scorer, run_ts, stamp_col).select(*out_cols)
+    new, obs = observed(new, "scored_rows", rows=F.count(F.lit(1)))
+    new.write.mode("append").partitionBy("dt").parquet(done_path)     # an empty batch writes no files
+    return obs.get["rows"]
 
 
 def indicators_job(posts: DataFrame, scored: DataFrame, pub: Publisher, run_ts: str,

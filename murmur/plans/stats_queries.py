@@ -203,3 +203,11 @@ register("daily_hot_topic", with_posts(
     lambda s, d: ind.daily_hot_topic(_posts(s, d)))
 
 __all__ = ["period_case"]
+
+register("sentiment_overview", with_posts(
+    "SELECT time_period, user_authentication, label, "
+    "CAST(grouping(time_period) AS INTEGER) AS g_period, "
+    "CAST(grouping(user_authentication) AS INTEGER) AS g_auth, count(*) AS value "
+    "FROM scored GROUP BY GROUPING SETS ((label), (time_period, label), (user_authentication, label))",
+    extra_ctes=SCORED))(
+    lambda s, d: ind.sentiment_overview(_scored(s, d)))

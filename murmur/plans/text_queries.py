@@ -220,3 +220,42 @@ FROM (SELECT CAST(quality AS DOUBLE) AS label, CAST(1 - toxic AS DOUBLE) AS pred
       FROM labels GROUP BY 1, 2) t""")(
     lambda s, d: SP.eval_classifier(table(s, d, "labels").select(
         F.col("quality").cast("double").alias("label"), (1 - F.col("toxic")).cast("double").alias("prediction"))))
+
+# --- batch accounting (AG24), topic and vector clustering (DOC5) -------------------------------
+
+
+def _ingest_metrics(s, d):
+    from murmur.operators.metrics import ingest_metrics
+    parsed = CLN.derive_time(CLN.counters_to_int(CLN.parse_posts(_raw(s, d))), V)
+    return ingest_metrics(parsed, V)
+
+
+_t = f"regexp_replace(text, {q(MENTION)}, '', 'g')"
+_nokey = "(id IS NULL OR created_at IS NULL)"
+_blk = "coalesce(" + " OR ".join(f"contains({_t}, {q(b)})" for b in V.blocklist) + ", false)"
+_short = f"coalesce(length({_t}) <= 5, true)"
+register("ingest_metrics", with_posts(
+    f"""SELECT count(*) AS messages,
+           CAST(sum(CASE WHEN {_nokey} THEN 1 ELSE 0 END) AS BIGINT) AS rejected,
+           CAST(sum(CASE WHEN NOT {_nokey} AND {_blk} THEN 1 ELSE 0 END) AS BIGINT) AS blocked,
+           CAST(sum(CASE WHEN NOT {_nokey} AND NOT {_blk} AND {_short} THEN 1 ELSE 0 END) AS BIGINT) AS too_short,
+           CAST(sum(CASE WHEN NOT {_nokey} AND NOT {_blk} AND NOT {_short} THEN 1 ELSE 0 END) AS BIGINT) AS kept
+    FROM posts""", V, with_text=True))(_ingest_metrics)
+
+
+def _topic_clusters(s, d):
+    from murmur.operators.topics import topic_clusters
+    docs = table(s, d, "documents").select(F.col("doc_id").alias("id"), "text")
+    _, assign = topic_clusters(docs, k=8)
+    return assign.groupBy("cluster").agg(F.count(F.lit(1)).alias("documents"))
+
+
+def _embedding_clusters(s, d):
+    from murmur.operators.topics import embedding_clusters
+    out = embedding_clusters(table(s, d, "embeddings"), k=4)
+    return out.groupBy("cluster").agg(F.count(F.lit(1)).alias("vectors"),
+                                      F.round(F.avg(F.array_max("probability")), 6).alias("avg_membership"))
+
+
+register("topic_clusters")(_topic_clusters)
+register("embedding_clusters")(_embedding_clusters)
