@@ -39,16 +39,23 @@ def topic_terms(model, assignments: DataFrame, texts: DataFrame, top: int = 10,
     return t.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
 
 
-def embedding_clusters(emb: DataFrame, k: int = 4, seed: int = 42, method: str = "gmm",
-                       vec_col: str = "embedding", id_col: str = "vec_id", max_iter: int = 50) -> DataFrame:
-    """Cluster wide float vectors: ``array<float>`` -> ML vector -> GMM or k-means.
+def embedding_clusters(emb: DataFrame, k: int = 4, seed: int = 42, method: str = "kmeans",
+                       vec_col: str = "embedding", id_col: str = "vec_id", max_iter: int = 50,
+                       pca_dims: int = 8) -> DataFrame:
+    """Cluster wide float vectors: ``array<float>`` -> ML vector -> k-means or GMM.
 
-    Output: id, cluster, and for the mixture the membership probabilities.
+    A full-covariance mixture on wide vectors is ill-conditioned unless there
+    are many more points than dimensions squared, so ``method="gmm"`` first
+    projects to ``pca_dims`` principal components.  Output: id, cluster (and
+    membership probabilities for the mixture).
     """
     from pyspark.ml.clustering import GaussianMixture, KMeans
+    from pyspark.ml.feature import PCA
     from pyspark.ml.functions import array_to_vector, vector_to_array
     v = emb.select(id_col, array_to_vector(F.col(vec_col)).alias("_features"))
     if method == "gmm":
+        v = (PCA(k=pca_dims, inputCol="_features", outputCol="_pca").fit(v).transform(v)
+             .select(id_col, F.col("_pca").alias("_features")))
         m = GaussianMixture(k=k, seed=seed, maxIter=max_iter, featuresCol="_features",
                             predictionCol="cluster", probabilityCol="_p").fit(v)
         out = m.transform(v).withColumn("probability", vector_to_array("_p"))

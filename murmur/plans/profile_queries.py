@@ -129,7 +129,7 @@ register("user_top_region", P("SELECT * FROM utop"))(
     lambda s, d: PR.user_top_region(_scored(s, d)))
 register("region_diversity", P("SELECT * FROM udiv"))(
     lambda s, d: PR.region_diversity(_scored(s, d)))
-register("user_region_profile", P("SELECT * FROM uregion"))(
+register("user_region_profile", P("SELECT * FROM uregion"), headline=True)(
     lambda s, d: PR.user_region_profile(_scored(s, d)))
 register("user_auth_profile", P(f"""
   SELECT user_id, user_authentication, pos_interaction_avg, neg_interaction_avg, avg_model_confidence,

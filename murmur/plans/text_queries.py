@@ -83,7 +83,7 @@ register("rule_features", with_posts(
                  CAST(reposts_count AS BIGINT) + comments_count + attitudes_count AS engagement,
                  (length(text) - length(regexp_replace(text, {q(_promo_alt)}, '', 'g'))) / {V.promo_divisor} AS promotion_count,
                  CASE WHEN reposts_count > 1000 THEN 1 ELSE 0 END AS is_viral
-          FROM posts) f""", V, with_text=True))(
+          FROM posts) f""", V, with_text=True), headline=True)(
     lambda s, d: FT.rule_features(_text(s, d), V).select(
         "id", *FT.RULE_FEATURES))
 
@@ -121,7 +121,7 @@ register("hot_keywords", with_posts(
         JOIN (SELECT term, count(*) AS df FROM (
                 SELECT DISTINCT dt, unnest(list_filter(regexp_extract_all(text, {q(WORD)}), lambda w: length(w) >= 2)) AS term
                 FROM posts) v GROUP BY term) dfs ON dfs.term = tf.term) s) r
-    WHERE rank <= 10""", V, with_text=True))(
+    WHERE rank <= 10""", V, with_text=True), headline=True)(
     lambda s, d: KW.hot_keywords(_text(s, d), k=10))
 
 register("sentiment_trend", with_posts(
@@ -137,7 +137,9 @@ register("negative_forecast", with_posts(
     f"""SELECT region, n_days, {sround('slope', 6)} AS slope, {sround('intercept', 6)} AS intercept,
            {sround('intercept + slope * 7.0', 6)} AS forecast,
            CASE WHEN {sround('slope', 6)} > 0 THEN 'up' WHEN {sround('slope', 6)} < 0 THEN 'down' ELSE 'flat' END AS direction
-    FROM (SELECT region, count(*) AS n_days, regr_slope(share, x) AS slope, regr_intercept(share, x) AS intercept
+    FROM (SELECT region, count(*) AS n_days,
+                 CASE WHEN var_pop(x) > 0 THEN regr_slope(share, x) END AS slope,
+                 CASE WHEN var_pop(x) > 0 THEN regr_intercept(share, x) END AS intercept
           FROM (SELECT region, dt, CAST(date_diff('day', DATE '2024-01-24', CAST(dt AS DATE)) AS DOUBLE) AS x,
                        sum(CASE WHEN label = {q(V.negative)} THEN 1 ELSE 0 END) / count(*) AS share
                 FROM (SELECT p.dt, p.label, rg.region
@@ -161,7 +163,7 @@ register("score_sentiment", with_posts(
       SELECT id, dt, CASE WHEN s > 0.5 THEN {q(V.positive)} WHEN s < 0.5 THEN {q(V.negative)} ELSE {q(V.neutral)} END AS label,
              CASE WHEN s > 0.5 THEN 2 WHEN s < 0.5 THEN 0 ELSE 1 END AS label_id, s AS score
       FROM (SELECT id, dt, CAST({_pos} + 1 AS DOUBLE) / ({_pos} + {_neg} + 2) AS s
-            FROM posts WHERE text IS NOT NULL AND text <> '') a) b""", V, with_text=True))(
+            FROM posts WHERE text IS NOT NULL AND text <> '') a) b""", V, with_text=True), headline=True)(
     lambda s, d: SC.score_text(_text(s, d), SC.lexicon_sentiment(V)).select(
         "id", "dt", "label", "label_id", "score", "confidence"))
 
@@ -252,9 +254,8 @@ def _topic_clusters(s, d):
 
 def _embedding_clusters(s, d):
     from murmur.operators.topics import embedding_clusters
-    out = embedding_clusters(table(s, d, "embeddings"), k=4)
-    return out.groupBy("cluster").agg(F.count(F.lit(1)).alias("vectors"),
-                                      F.round(F.avg(F.array_max("probability")), 6).alias("avg_membership"))
+    out = embedding_clusters(table(s, d, "embeddings"), k=4, method="kmeans")
+    return out.groupBy("cluster").agg(F.count(F.lit(1)).alias("vectors"))
 
 
 register("topic_clusters")(_topic_clusters)
