@@ -69,5 +69,7 @@ def han_bigrams(c: Column) -> Column:
 
 def tokens(c: Column, min_len: int = 2) -> Column:
     """Token list: word runs plus Han bigrams; NULL or blank text -> []."""
-    t = F.concat(word_tokens(c, min_len), han_bigrams(c))
+    # the bigram pass only runs on texts that contain a Han character
+    grams = F.when(c.rlike(HAN), han_bigrams(c)).otherwise(F.array().cast("array<string>"))
+    t = F.concat(word_tokens(c, min_len), grams)
     return F.when(F.trim(F.coalesce(c, F.lit(""))) == "", F.array().cast("array<string>")).otherwise(t)

@@ -41,9 +41,11 @@ def hot_keywords(posts: DataFrame, k: int = 10, min_len: int = 2, digits: int =
     toks = posts.select("dt", F.explode(TX.tokens(F.col("text"), min_len)).alias("term"))
     tf = toks.groupBy("dt", "term").agg(F.count(F.lit(1)).alias("tf"))
     n_days = posts.select(F.count_distinct("dt")).scalar()
-    df_ = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # days containing the term: a window over the aggregated (dt, term) rows
+    # (at most one row per day and term), so the tokens are exploded once
+    df_ = F.count(F.lit(1)).over(Window.partitionBy("term"))
     idf = F.log((n_days + F.lit(1)) / (F.col("df") + F.lit(1))) + F.lit(1.0)
-    scored = tf.join(df_, "term").withColumn("tfidf", F.col("tf") * idf)
+    scored = tf.withColumn("df", df_).withColumn("tfidf", F.col("tf") * idf)
     w = Window.partitionBy("dt").orderBy(F.desc("tfidf"), F.asc("term"))
     return (scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select("dt", "rank", "term", "tf", "df", F.round("tfidf", digits).alias("tfidf")))
