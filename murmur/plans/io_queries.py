@@ -94,3 +94,26 @@ register("stream_ingest", with_posts(
            attitudes_count, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at, user_authentication,
            hour, time_period, dt FROM ({CLEAN_SQL_BODY.replace('created_at,', "date_trunc('minute', created_at) AS created_at,", 1)}) c""",
     V, with_text=True))(_stream_ingest)
+
+
+# SRC3: labelled posts written as a header CSV, read back with the training reader
+def _training_csv(s, d):
+    from murmur.sources.files import read_training_csv
+    from murmur.sources.tables import table
+    path = scratch_path(s, "train-csv")
+    p = posts_with_text(s, d, V, keep_doc_id=True).drop("label")
+    lab = table(s, d, "labels").select("doc_id", F.col("quality").cast("string").alias("label"))
+    (p.join(lab, "doc_id")
+      .select("text", *[F.col(c).cast("string").alias(c) for c in ("reposts_count", "comments_count",
+                                                                     "attitudes_count")], "label")
+      .write.option("header", "true").option("ignoreLeadingWhiteSpace", "false")
+      .option("ignoreTrailingWhiteSpace", "false").csv(path))
+    return read_training_csv(s, path, encoding="UTF-8")
+
+
+register("training_csv", with_posts(
+    """SELECT p.text, CAST(p.reposts_count AS VARCHAR) AS reposts_count,
+              CAST(p.comments_count AS VARCHAR) AS comments_count,
+              CAST(p.attitudes_count AS VARCHAR) AS attitudes_count, CAST(l.quality AS DOUBLE) AS label
+       FROM posts p JOIN labels l ON l.doc_id = CAST(p.id AS BIGINT) % (SELECT count(*) FROM documents)
+       WHERE l.quality IS NOT NULL""", V, with_text=True))(_training_csv)

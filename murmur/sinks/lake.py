@@ -53,6 +53,12 @@ def append_partitioned(df: DataFrame, table: str) -> None:
     df.select(*cols).write.insertInto(table)
 
 
+def repair_partitions(spark: SparkSession, table: str) -> None:
+    """Register partition folders written outside the catalog (``insertInto``
+    registers its own partitions; only external writers need this)."""
+    spark.catalog.recoverPartitions(table)
+
+
 def upsert_merge(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``new`` replace rows of ``old`` with equal keys; others stay.
 
