@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from murmur.vocab import REFERENCE, Vocab
+from murmur.session import cut
 
 POST_ATTRS = ("bid", "screen_name", "text", "topic_label", "location")
 
@@ -192,14 +193,14 @@ def _class_recall(users: DataFrame, cands: DataFrame, cand_col: str, reason: str
     rows, lists: K * 2N rows, fallback users: at most one per list).
     """
     depth = 2 * top_n
-    users = users.checkpoint(eager=True)          # profiles + clusters computed once
+    users = cut(users)          # profiles + clusters computed once
     c = (cands.select("id", "author_id", "topic_label", F.col(cand_col).alias("_ckey"), "final_score", "score")
          .where(F.col("_ckey").isNotNull()))
     classes = users.select(F.col("_key").alias("_k2"), *[F.col(p).alias("_c_" + p) for p in PROB_COLS]).distinct()
     k = classes.count()
     if k > skyband_min_classes:
         # many distinct probability vectors: shrink each (key, topic) group first
-        c = skyband_prune(c, ["_ckey", "topic_label"], top_n).checkpoint(eager=True)
+        c = cut(skyband_prune(c, ["_ckey", "topic_label"], top_n))
     cc = join_bounded(c, classes, [("_ckey", "_k2")], k)
     cc = cc.withColumns({p: F.col("_c_" + p) for p in PROB_COLS})
     score = F.col("final_score") * (F.lit(1.0) + personal_bonus(vocab) * F.lit(bonus_weight))
@@ -311,8 +312,8 @@ def recommend(topics: DataFrame, sentiment: DataFrame, time_profile: DataFrame,
     pool = candidate_pool(topics, as_of, days)
     cands = candidate_scored(pool.drop("text") if "text" in pool.columns else pool, sentiment)
     if prune:
-        cands = cands.checkpoint(eager=True)      # read by both channels and their fallbacks
-        clusters = clusters.checkpoint(eager=True)  # read by both channels and the final scoring
+        cands = cut(cands)      # read by both channels and their fallbacks
+        clusters = cut(clusters)  # read by both channels and the final scoring
     rec = recall_union(recall_region(region_profile, cands, prune, n, vocab, clusters),
                        recall_time(time_profile, cands, prune, n, vocab, clusters), vocab)
     ranked = personalized_rank(rec, clusters, vocab)

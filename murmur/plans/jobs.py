@@ -24,6 +24,7 @@ from murmur.sinks import lake as L
 from murmur.sources.tables import read_day, read_table_dedup
 from murmur.streaming import ingest as S
 from murmur.vocab import REFERENCE, Vocab
+from murmur.session import cut
 
 
 @dataclass
@@ -112,7 +113,7 @@ def user_portrait_job(scored: DataFrame, pub: Publisher, run_ts: str, vocab: Voc
 def cluster_profile_job(scored: DataFrame, pub: Publisher, run_ts: str, vocab: Vocab = REFERENCE,
                         model=None) -> None:
     """JB6: features -> segments -> mixture (fitted when no model is given) -> profile."""
-    seg = CL.segment_users(CL.user_features(read_table_dedup(scored), vocab), vocab).checkpoint(eager=True)
+    seg = cut(CL.segment_users(CL.user_features(read_table_dedup(scored), vocab), vocab))
     model = model or CL.fit_clusters(seg)
     pub.overwrite(CL.cluster_profile(seg, CL.assign_clusters(model, seg), run_ts), "user_gmm_profile")
 
@@ -122,7 +123,7 @@ def recommend_job(spark: SparkSession, topics: DataFrame, scored: DataFrame, tim
                   run_ts: str, vocab: Vocab = REFERENCE) -> str | None:
     """JB7: top-N per user, published by blue/green switch; skipped when empty."""
     top = RC.recommend(topics, scored, time_profile, region_profile, clusters, as_of, vocab, run_ts=run_ts)
-    top = top.checkpoint(eager=True)
+    top = cut(top)
     if top.isEmpty():
         return None
     return L.publish_blue_green(spark, top, view, base_path)

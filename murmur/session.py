@@ -68,3 +68,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, f"murmur-{name}-{uuid.uuid4().hex[:12]}")
+
+
+def cut(df):
+    """Materialise ``df`` in the shared checkpoint folder and cut its lineage
+    (reliable checkpoint: survives executor loss; never a local checkpoint)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

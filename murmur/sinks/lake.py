@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from murmur.operators.dedup import latest_per_key
 from murmur.sources.tables import read_text_sample
+from murmur.session import cut
 
 
 def write_posts_batch(df: DataFrame, path: str, batch_id: int, partition_cols=("dt",)) -> None:
@@ -79,7 +80,7 @@ def upsert_partitioned(spark: SparkSession, new: DataFrame, path: str, keys: lis
     """
     touched = new.select(partition_col).distinct()
     old = spark.read.parquet(path).join(touched, partition_col, "left_semi")
-    merged = upsert_merge(old, new, keys).checkpoint(eager=True)
+    merged = cut(upsert_merge(old, new, keys))
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col).parquet(path))
 
@@ -142,7 +143,7 @@ def update_last_dt(spark: SparkSession, path: str, task: str, new_dt: str) -> No
     new = spark.createDataFrame([(task, new_dt)], JOB_CHECKPOINT)
     try:
         old = spark.read.schema(JOB_CHECKPOINT).parquet(path)
-        merged = upsert_merge(old, new, ["task_name"]).checkpoint(eager=True)
+        merged = cut(upsert_merge(old, new, ["task_name"]))
     except Exception:  # noqa: BLE001 - first write
         merged = new
     merged.coalesce(1).write.mode("overwrite").parquet(path)
