@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from murmur.operators.indicators import stamp
-from murmur.operators.profiles import (_earliest, first_non_null, known_users, sentiment_leverage,
-                                       user_region_stats)
+from murmur.operators.profiles import _earliest, first_non_null, known_users, user_region_stats
 from murmur.functions.time import is_night
 from murmur.schemas import CLUSTER_FEATURES
 from murmur.vocab import REFERENCE, Vocab
@@ -21,23 +20,40 @@ OFFICIAL_CLUSTER, DEFAULT_CLUSTER = 99, -1
 
 
 def user_features(scored: DataFrame, vocab: Vocab = REFERENCE) -> DataFrame:
-    """Five behaviour features per user (plus name and identity)."""
+    """Five behaviour features per user (plus name and identity).
+
+    Identity, sentiment spread, night share and the leverage sums share one
+    ``groupBy(user_id)`` (one scan, one shuffle of partial aggregates); the
+    region features need the exploded locations and are a second aggregate.
+    """
     s = known_users(scored)
     night = F.when(is_night(F.col("hour")), 1).otherwise(0)
-    feat12 = (s.groupBy("user_id").agg(
+    lab = F.col("label")
+    inter = F.col("reposts_count").cast("long") + F.col("comments_count") + F.col("attitudes_count")
+
+    def sums(name):
+        return (F.sum(F.when(lab == name, inter).otherwise(0)).cast("double"),
+                F.sum(F.when(lab == name, 1).otherwise(0)).cast("double"))
+    neg_s, neg_n = sums(vocab.negative)
+    pos_s, pos_n = sums(vocab.positive)
+    core = s.groupBy("user_id").agg(
         first_non_null(F.col("screen_name"), _earliest()).alias("screen_name"),
         first_non_null(F.col("user_authentication"), _earliest()).alias("user_authentication"),
         F.round(F.stddev_samp("score"), 4).alias("hourly_sentiment_stddev"),
-        F.round(F.sum(night).cast("double") / F.count(F.lit(1)), 4).alias("night_post_ratio"))
-        .na.fill(0.0, ["hourly_sentiment_stddev"])
-        .na.fill(vocab.default_auth, ["user_authentication"]))
+        F.round(F.sum(night).cast("double") / F.count(F.lit(1)), 4).alias("night_post_ratio"),
+        F.round(neg_s / F.greatest(neg_n, F.lit(1.0)), 2).alias("_neg_avg"),
+        F.round(pos_s / F.greatest(pos_n, F.lit(1.0)), 2).alias("_pos_avg"))
+    pos = F.col("_pos_avg")
+    lev = F.round(F.col("_neg_avg") / F.when(pos == 0, F.lit(1.0)).otherwise(pos), 4)
+    core = (core.withColumn("sentiment_leverage", lev).drop("_neg_avg", "_pos_avg")
+            .na.fill(0.0, ["hourly_sentiment_stddev", "sentiment_leverage"])
+            .na.fill(vocab.default_auth, ["user_authentication"]))
     rs = user_region_stats(scored)
     key = F.struct(-F.col("region_focus_count"), F.col("region"))
     feat34 = rs.groupBy("user_id").agg(
         F.min_by(F.col("top_region_avg_score"), key).alias("top_region_avg_score"),
         F.count(F.lit(1)).alias("region_diversity_score"))
-    feat5 = sentiment_leverage(scored, vocab)
-    out = (feat12.join(feat34, "user_id", "left").join(feat5, "user_id", "left")
+    out = (core.join(feat34, "user_id", "left")
            .na.fill(0.0)
            .withColumn("region_diversity_score", F.col("region_diversity_score").cast("long")))
     return out.select("user_id", "screen_name", "user_authentication", *CLUSTER_FEATURES)

@@ -1,21 +1,17 @@
-"""Run metrics: counts of a batch without a second pass over the data."""
+"""Run metrics: batch accounting in one aggregate; stream metrics as named
+observations reported with each micro-batch's progress (no extra job).
+
+Batch ``Observation`` objects are not used: in this Spark version a plan
+executed after one was used could fail to serialize the session."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from murmur.functions import text as TX
 from murmur.vocab import REFERENCE, Vocab
 
 
-def observed(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, Observation]:
-    """Attach named metrics computed while the frame is processed by its own
-    action (``obs.get`` afterwards); no extra job, unlike ``count()``."""
-    obs = Observation(name)
-    exprs = [e.alias(k) for k, e in metrics.items()] or [F.count(F.lit(1)).alias("rows")]
-    return df.observe(obs, *exprs), obs
-
-
 def observed_stream(df: DataFrame, name: str, **metrics: Column) -> DataFrame:
     """Streaming form: metrics appear in ``query.lastProgress['observedMetrics'][name]``."""
     exprs = [e.alias(k) for k, e in metrics.items()] or [F.count(F.lit(1)).alias("rows")]

@@ -44,3 +44,25 @@ def test_run_once_per_day(spark, tmp):
     assert J.run_once_per_day(spark, ck, "nightly", "2024-01-06", lambda: calls.append(1))
     assert calls == [1, 1]
     assert J.scored_day("2024-01-05") == "2024-01-03"
+
+
+def test_ingest_job_with_saved_spam_model(spark, tmp):
+    from murmur.operators import spam as SP
+    from murmur.sinks import lake as L
+    from murmur.sources.posts_view import raw_messages
+    from murmur.sources.tables import table
+    posts = posts_with_text(spark, SF0001, V, keep_doc_id=True)
+    lab = table(spark, SF0001, "labels").select("doc_id", F.col("quality").alias("label"))
+    model_path = os.path.join(tmp, "spam_model")
+    ev = J.train_spam_job(spark, posts.drop("label").join(lab, "doc_id"), model_path, V)
+    assert ev.first().total > 0
+    inp = os.path.join(tmp, "in")
+    raw_messages(posts).write.text(inp)
+    q = J.ingest_job(spark, os.path.join(tmp, "landing"), os.path.join(tmp, "ck"), source="files",
+                     model_path=model_path, vocab=V, available_now=True, path=inp)
+    q.awaitTermination()
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("RocksDBStateStoreProvider")
+    metrics = q.lastProgress["observedMetrics"]["ingest"] if q.lastProgress else None
+    landed = L.read_landing(spark, os.path.join(tmp, "landing"))
+    assert 0 < landed.count() <= posts.count()
+    assert metrics is None or metrics["messages"] >= 0
