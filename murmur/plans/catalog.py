@@ -12,6 +12,7 @@ _MODULES = (
     "murmur.plans.recommend_queries",
     "murmur.plans.text_queries",
     "murmur.plans.io_queries",
+    "murmur.plans.rollup_queries",
 )
 
 

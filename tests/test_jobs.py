@@ -66,3 +66,20 @@ def test_ingest_job_with_saved_spam_model(spark, tmp):
     landed = L.read_landing(spark, os.path.join(tmp, "landing"))
     assert 0 < landed.count() <= posts.count()
     assert metrics is None or metrics["messages"] >= 0
+
+
+def test_rollup_refresh_only_touched_days(spark, tmp):
+    from murmur.operators import rollup as RU
+    posts = posts_view(spark, SF0001, vocab=V)
+    path = os.path.join(tmp, "rollup")
+    RU.refresh_rollup(spark, posts, path)
+    base = RU.merged(spark.read.parquet(path), ("user_authentication",))
+    assert base.agg(F.sum("n")).first()[0] == posts.count()
+    before = {r.dt for r in spark.read.parquet(path).select("dt").distinct().collect()}
+    # a re-crawl of one day with one post dropped: only that partition is rewritten
+    day = "2024-01-10"
+    changed = posts.where((F.col("dt") != day) | (F.col("id") != posts.where(F.col("dt") == day).first().id))
+    RU.refresh_rollup(spark, changed, path, days=[day])
+    after = spark.read.parquet(path)
+    assert {r.dt for r in after.select("dt").distinct().collect()} == before
+    assert RU.merged(after, ("user_authentication",)).agg(F.sum("n")).first()[0] == posts.count() - 1
