@@ -16,6 +16,7 @@ from murmur.operators import clusters as CL
 from murmur.operators import indicators as IND
 from murmur.operators import profiles as PR
 from murmur.operators import recommend as RC
+from murmur.operators import rollup as RU
 from murmur.operators import scoring as SC
 from murmur.operators import spam as SP
 from murmur.sinks import jdbc as J
@@ -85,27 +86,54 @@ def score_job(spark: SparkSession, posts: DataFrame, done_path: str, day: str, s
 
 
 def indicators_job(posts: DataFrame, scored: DataFrame, pub: Publisher, run_ts: str,
-                   vocab: Vocab = REFERENCE) -> None:
-    """JB4: volume statistics of all posts, then sentiment statistics."""
+                   vocab: Vocab = REFERENCE, rollup_path: str | None = None, ckpt_path: str | None = None,
+                   task: str = "indicators") -> None:
+    """JB4: volume statistics of all posts, then sentiment statistics.
+
+    With ``rollup_path`` (and ``ckpt_path``) the counts come from daily rollups:
+    only days from the last processed one on are re-aggregated, everything
+    else is a merge of stored rollups (no rescan of the history).
+    """
     p = read_table_dedup(posts)
-    outs = {
+    s = read_table_dedup(scored)
+    outs = {}
+    if rollup_path:
+        spark = posts.sparkSession
+        last = L.read_last_dt(spark, ckpt_path, task).first()["last_dt"] if ckpt_path else None
+        new_days = [r[0] for r in s.where(F.col("dt") >= F.lit(last or "0000")).select("dt").distinct().collect()]
+        RU.refresh_rollup(spark, s, rollup_path, days=new_days)
+        r = spark.read.parquet(rollup_path)
+
+        def count_of(dims, name="count"):
+            return IND.stamp(RU.merged(r, dims).select(*dims, F.col("n").alias(name)), run_ts)
+        known = F.col("label").isin(vocab.positive, vocab.negative, vocab.neutral)
+        outs.update({
+            "label_count": count_of(("label",), "value").where(known),
+            "label_count_by_time": count_of(("time_period", "label"), "value"),
+            "user_auth_label_count": count_of(("user_authentication", "label"), "value"),
+            "interaction_count_by_label": IND.stamp(RU.merged(r, ("label",)).select(
+                "label", F.round(F.col("sum_reposts") / F.col("n_reposts"), 2).alias("avg_repost"),
+                F.round(F.col("sum_comments") / F.col("n_comments"), 2).alias("avg_comment"),
+                F.round(F.col("sum_attitudes") / F.col("n_attitudes"), 2).alias("avg_attitude")), run_ts),
+        })
+        if ckpt_path and new_days:
+            L.update_last_dt(spark, ckpt_path, task, max(new_days))
+    outs.update({
         "user_post_count": IND.auth_post_count(p, run_ts),
         "time_period_count": IND.period_post_count(p, run_ts),
         "hour_post_count": IND.hour_post_count(p, run_ts),
         "day_post_count": IND.day_post_count(p, run_ts),
         "time_period_user_count": IND.period_auth_count(p, run_ts),
         "region_hot": IND.region_post_count(p, run_ts),
-    }
-    s = read_table_dedup(scored)
-    outs.update({
-        "label_count": IND.label_count(s, vocab, run_ts),
-        "label_count_by_time": IND.label_by_period(s, run_ts),
-        "user_auth_label_count": IND.label_by_auth(s, run_ts),
-        "interaction_count_by_label": IND.interaction_by_label(s, run_ts),
         "region_heat_statistic": IND.region_heat(s, run_ts=run_ts),
         "day_label_ratio": IND.day_label_ratio(s, run_ts),
         "confidence_level_count": IND.confidence_level_count(s, vocab, run_ts),
     })
+    for key, fn in (("label_count", lambda: IND.label_count(s, vocab, run_ts)),
+                    ("label_count_by_time", lambda: IND.label_by_period(s, run_ts)),
+                    ("user_auth_label_count", lambda: IND.label_by_auth(s, run_ts)),
+                    ("interaction_count_by_label", lambda: IND.interaction_by_label(s, run_ts))):
+        outs.setdefault(key, fn())
     for name, df in outs.items():
         pub.overwrite(df, name)
 

@@ -83,3 +83,18 @@ def test_rollup_refresh_only_touched_days(spark, tmp):
     after = spark.read.parquet(path)
     assert {r.dt for r in after.select("dt").distinct().collect()} == before
     assert RU.merged(after, ("user_authentication",)).agg(F.sum("n")).first()[0] == posts.count() - 1
+
+
+def test_indicators_from_rollups_equal_direct(spark, tmp):
+    posts = posts_view(spark, SF0001, vocab=V)
+    scored = sentiment_table(posts)
+    direct, rolled = (J.Publisher(base_path=os.path.join(tmp, x)) for x in ("direct", "rolled"))
+    J.indicators_job(posts, scored, direct, "t", V)
+    J.indicators_job(posts, scored, rolled, "t", V, rollup_path=os.path.join(tmp, "ru"),
+                     ckpt_path=os.path.join(tmp, "ck"))
+    J.indicators_job(posts, scored, rolled, "t", V, rollup_path=os.path.join(tmp, "ru"),
+                     ckpt_path=os.path.join(tmp, "ck"))                    # second run: only the last day
+    for name in ("label_count", "label_count_by_time", "user_auth_label_count", "interaction_count_by_label"):
+        a = spark.read.parquet(os.path.join(tmp, "direct", name))
+        b = spark.read.parquet(os.path.join(tmp, "rolled", name)).select(*a.columns)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
