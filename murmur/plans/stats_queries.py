@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from murmur.operators import indicators as ind
-from murmur.plans.oracle import REGIONS, SCORED, in_list, period_case, q, sround, with_posts
+from murmur.plans.oracle import REGIONS, SCORED, in_list, q, sround, with_posts
 from murmur.plans.registry import register
 from murmur.sources.posts_view import posts_view, posts_with_text, sentiment_table
 from murmur.sources.tables import table
@@ -20,8 +20,8 @@ def _scored(spark, d):
     return sentiment_table(_posts(spark, d))
 
 
+# regions of scored posts with a score (same CTE, other name and filter)
 SCORED_REGIONS = REGIONS.replace("regions AS", "sregions AS").replace(
-    "FROM posts p", "FROM posts p").replace(
     "WHERE p.location", "WHERE p.label IS NOT NULL AND p.score IS NOT NULL AND p.location")
 
 
@@ -202,8 +202,6 @@ register("daily_hot_topic", with_posts(
       FROM posts WHERE topic_label IS NOT NULL GROUP BY dt, topic_label) t WHERE rn = 1"""))(
     lambda s, d: ind.daily_hot_topic(_posts(s, d)))
 
-__all__ = ["period_case"]
-
 register("sentiment_overview", with_posts(
     "SELECT time_period, user_authentication, label, "
     "CAST(grouping(time_period) AS INTEGER) AS g_period, "
