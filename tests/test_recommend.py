@@ -132,3 +132,17 @@ def test_both_channels_keep_region_reason(spark):
     u = spark.createDataFrame([("1", PERIODS[0], "A")], "user_id string, prefer_time_period string, top_focus_region string")
     rec = RC.recall_union(RC.recall_region(u, c, vocab=V), RC.recall_time(u, c, vocab=V), V).collect()
     assert [(r.target_user_id, r.id, r.recall_reason) for r in rec] == [("1", "p1", "region")]
+
+
+@pytest.mark.parametrize("m", [14, 15, 16])
+def test_users_with_14_15_16_candidates(spark, m):
+    rows = [(f"p{i:02d}", str(100 + i), "city", "A", PERIODS[0], 0.5 + i / 100, 0.5) for i in range(m)]
+    c = spark.createDataFrame(rows, "id string, author_id string, topic_label string, location string, "
+                                    "time_period string, final_score double, score double")
+    u = spark.createDataFrame([("1", PERIODS[0], "A"), ("2", PERIODS[1], "B")],
+                              "user_id string, prefer_time_period string, top_focus_region string")
+    cl = spark.createDataFrame([("1", 0.1, 0.2, 0.3, 0.4)], "user_id string, prob_0 double, prob_1 double, "
+                                                              "prob_2 double, prob_3 double")
+    got = _rows(_topn(c, u, cl, True, 15))
+    assert got == _rows(_topn(c, u, cl, False, 15))
+    assert len(got) == min(m, 15) and {r[0] for r in got} == {"1"}

@@ -95,7 +95,9 @@ def test_stream_equals_batch_with_duplicates_and_rejects(spark, tmp):
     msgs = [r.json_data for r in raw.collect()]
     _write_messages(spark, msgs[:500], inp)
     _write_messages(spark, msgs[250:], inp)                       # overlapping re-delivery
-    _write_messages(spark, [json.dumps({"id": "x", "text": "no time here at all"}), "{bad"], inp)
+    first = json.loads(msgs[0])
+    shadow = dict(first, created_at=None, text="a null-time copy of the same id")
+    _write_messages(spark, [json.dumps({"id": "x", "text": "no time here at all"}), "{bad", json.dumps(shadow)], inp)
     q = S.write_posts_stream(S.clean_stream(S.read_post_stream(spark, "files", inp, max_files_per_trigger=1),
                                             V, watermark="40 days"), out, ck, available_now=True)
     q.awaitTermination()
@@ -103,6 +105,8 @@ def test_stream_equals_batch_with_duplicates_and_rejects(spark, tmp):
     batch = C.derive_time(C.clean_posts(C.parse_posts(raw), V), V)
     assert sorted(r.id for r in got.select("id").collect()) == sorted(r.id for r in batch.select("id").collect())
     assert got.where(F.col("id") == "x").count() == 0
+    kept = got.where(F.col("id") == first["id"]).select("text").collect()   # the good copy survives
+    assert [r.text for r in kept] == [r.text for r in batch.where(F.col("id") == first["id"]).select("text").collect()]
 
 
 def test_stream_replay_after_failure(spark, tmp):
