@@ -194,8 +194,10 @@ def _class_recall(users: DataFrame, cands: DataFrame, cand_col: str, reason: str
     """
     depth = 2 * top_n
     users = cut(users)          # profiles + clusters computed once
+    # a post without author is never recommended (own-post exclusion drops it),
+    # so it is left out here; then only the list's own author can fall back
     c = (cands.select("id", "author_id", "topic_label", F.col(cand_col).alias("_ckey"), "final_score", "score")
-         .where(F.col("_ckey").isNotNull()))
+         .where(F.col("_ckey").isNotNull() & F.col("author_id").isNotNull()))
     classes = users.select(F.col("_key").alias("_k2"), *[F.col(p).alias("_c_" + p) for p in PROB_COLS]).distinct()
     k = classes.count()
     if k > skyband_min_classes:

@@ -146,3 +146,16 @@ def test_users_with_14_15_16_candidates(spark, m):
     got = _rows(_topn(c, u, cl, True, 15))
     assert got == _rows(_topn(c, u, cl, False, 15))
     assert len(got) == min(m, 15) and {r[0] for r in got} == {"1"}
+
+
+def test_null_author_posts_do_not_force_fallback(spark):
+    """Many top posts without author: every user still gets an exact list, no mass fallback."""
+    rows = [(f"n{i:02d}", None, "city", "A", PERIODS[0], 0.99 - i / 1000, 0.2) for i in range(40)]
+    rows += [(f"a{i:02d}", str(50 + i), "city", "A", PERIODS[0], 0.6 + i / 1000, 0.2) for i in range(20)]
+    c = spark.createDataFrame(rows, "id string, author_id string, topic_label string, location string, "
+                                    "time_period string, final_score double, score double")
+    u = spark.createDataFrame([(str(x), PERIODS[0], "A") for x in range(10)],
+                              "user_id string, prefer_time_period string, top_focus_region string")
+    cl = spark.createDataFrame([(str(x), 0.25, 0.25, 0.25, 0.25) for x in range(10)],
+                               "user_id string, prob_0 double, prob_1 double, prob_2 double, prob_3 double")
+    assert _rows(_topn(c, u, cl, False, 15)) == _rows(_topn(c, u, cl, True, 15))
