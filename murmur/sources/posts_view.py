@@ -28,8 +28,7 @@ def _nation_region(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def posts_view(spark: SparkSession, sf_dir: str, with_text: bool = False,
                vocab: Vocab = FIXTURE) -> DataFrame:
-    e = ensure_parallelism(
-        table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"))
+    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     nr = _nation_region(spark, sf_dir)
 
@@ -96,6 +95,9 @@ def with_doc_id(spark: SparkSession, sf_dir: str, posts: DataFrame) -> DataFrame
 
 
 def _attach_text(spark: SparkSession, sf_dir: str, posts: DataFrame, keep_doc_id: bool = False) -> DataFrame:
+    # text work is CPU-heavy per row: spread a single-split input first (the
+    # narrow post columns are shuffled, before the texts are attached)
+    posts = ensure_parallelism(posts)
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("_doc"), "text")
     out = (with_doc_id(spark, sf_dir, posts)
            .join(docs, F.col("doc_id") == F.col("_doc"), "left")
