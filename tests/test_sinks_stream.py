@@ -146,3 +146,15 @@ def test_hourly_volume_stream(spark, tmp):
     batch = C.derive_time(C.clean_posts(C.parse_posts(raw), V), V)
     want = {r[0]: r[1] for r in batch.groupBy(F.date_trunc("hour", "created_at")).count().collect()}
     assert got == want
+
+
+def test_compact_day_is_rerunnable(spark, tmp):
+    landing, target = os.path.join(tmp, "landing"), os.path.join(tmp, "posts")
+    df = _posts(spark)
+    L.write_posts_batch(df, landing, 0)
+    L.write_posts_batch(df.where(F.col("id") == "1").withColumn("reposts_count", F.lit(50))
+                        .withColumn("created_at", F.col("created_at") + F.expr("INTERVAL 1 MINUTE")), landing, 1)
+    for _ in range(2):                                   # a rerun gives the same day partition
+        L.compact_day(spark, landing, target, "2024-01-01")
+    got = {r.id: r.reposts_count for r in spark.read.parquet(target).collect()}
+    assert got == {"1": 50, "2": 6}                      # newest copy of id 1; only that day written
