@@ -117,3 +117,26 @@ register("training_csv", with_posts(
               CAST(p.attitudes_count AS VARCHAR) AS attitudes_count, CAST(l.quality AS DOUBLE) AS label
        FROM posts p JOIN labels l ON l.doc_id = CAST(p.id AS BIGINT) % (SELECT count(*) FROM documents)
        WHERE l.quality IS NOT NULL""", V, with_text=True))(_training_csv)
+
+
+# DOC1 (stream form): tumbling one-hour post counts over the ingested message stream
+def _stream_hourly(s, d):
+    from murmur.streaming.ingest import hourly_volume_stream
+    base = scratch_path(s, "hourly")
+    raw_messages(posts_with_text(s, d, V)).write.text(f"{base}/in")
+    posts = clean_stream(read_post_stream(s, "files", f"{base}/in"), V)
+    q = (hourly_volume_stream(posts).writeStream.outputMode("update")
+         .foreachBatch(lambda df, bid: df.write.mode("append").parquet(f"{base}/out"))
+         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    # update mode may emit an hour more than once (once per batch that touched it): keep the last value
+    out = s.read.parquet(f"{base}/out")
+    last = out.groupBy("hour_start").agg(F.max("posts").alias("posts"))
+    return last.select(F.date_format("hour_start", "yyyy-MM-dd HH:mm:ss").alias("hour_start"), "posts")
+
+
+register("stream_hourly_volume", with_posts(
+    f"""SELECT strftime(date_trunc('hour', created_at), '%Y-%m-%d %H:%M:%S') AS hour_start, count(*) AS posts
+        FROM ({CLEAN_SQL_BODY}) c GROUP BY 1""", V, with_text=True))(_stream_hourly)
