@@ -30,3 +30,14 @@ def test_rows_only_queries_run(spark, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() >= 0 and len(df.columns) > 0
+
+
+@pytest.mark.parametrize("name", ["hour_post_count", "day_post_count", "posts_ingest", "read_day", "user_time_profile"])
+def test_time_dependent_queries_in_another_session_time_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    try:
+        sdf = E.queries()[name](spark, SF0001).toPandas()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert compare(sdf, con.execute(E.oracle_sql()[name]).df()) is None
