@@ -1,6 +1,6 @@
 """Time the headline queries and print one JSON line.
 
-Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
+Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_MEM (driver heap, default 4g),
 BENCH_QUERIES (comma list, default: the registered headline set).
 Each query runs to completion through the ``noop`` sink (full execution,
 nothing collected to the driver); a small warm-up query runs first.
@@ -24,7 +24,7 @@ def main() -> None:
     from murmur.session import get_session
     from murmur.plans import catalog
     spark = get_session(f"local[{cpus}]", app="murmur-bench", shuffle_partitions=max(2 * cpus, 8),
-                        extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "6g")})
+                        extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "4g")})
     qs = catalog.queries()
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or catalog.headline()
 
