@@ -88,3 +88,20 @@ def test_merge_statement_text():
     assert "UPDATE SET score = s.score" in sql and "INSERT (user_id, post_id, score)" in sql
     my = J.merge_sql("rec", "rec_stg", ["user_id", "post_id", "score"], ["user_id", "post_id"], "mysql")
     assert my.endswith("ON DUPLICATE KEY UPDATE score = t.score")
+
+
+def test_topic_terms_and_approx_diversity(spark):
+    from murmur.operators import profiles as PR
+    from murmur.operators.topics import topic_clusters, topic_terms
+    from murmur.sources.posts_view import posts_view, sentiment_table
+    from murmur.sources.tables import table
+    from conftest import SF0001
+    docs = table(spark, SF0001, "documents").select(F.col("doc_id").alias("id"), "text")
+    model, assign = topic_clusters(docs, k=3, max_iter=5)
+    terms = topic_terms(model, assign, docs, top=5).collect()
+    assert terms and all(1 <= r["rank"] <= 5 for r in terms)
+    assert {r.cluster for r in terms} <= {0, 1, 2}
+    scored = sentiment_table(posts_view(spark, SF0001, vocab=FIXTURE))
+    exact = {r.user_id: r.region_diversity_score for r in PR.region_diversity(scored).collect()}
+    approx = {r.user_id: r.region_diversity_score for r in PR.region_diversity(scored, approx=True).collect()}
+    assert exact == approx                     # HyperLogLog++ is exact at these small cardinalities
