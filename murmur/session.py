@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -45,10 +44,11 @@ def get_session(master: str | None = None, app: str = "murmur",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the cluster.
+    """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    ``spark.checkpoint.dir`` is read from the session.  Only when it is unset
-    (local tests) a fresh folder is created and registered.
+    Only a single-process session (``local[...]``) that names none gets a fresh
+    temporary folder; on any other master a machine-local folder would be
+    invisible to the other machines, so a missing setting raises.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -57,17 +57,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf:
+        if not _single_process(sc.master):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on master {sc.master}")
         conf = tempfile.mkdtemp(prefix="murmur-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 
 
+def _single_process(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique folder under the shared checkpoint folder."""
+    """A new, unique folder under the shared checkpoint folder, removed when
+    the application ends."""
     base = ensure_checkpoint_dir(spark)
     if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, f"murmur-{name}-{uuid.uuid4().hex[:12]}")
+        base = "/" + base[len("file:"):].lstrip("/")
+    path = f"{base.rstrip('/')}/murmur-{name}-{uuid.uuid4().hex[:12]}"
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(hpath)               # deleteOnExit only takes paths that exist
+    fs.deleteOnExit(hpath)
+    return path
 
 
 def cut(df):
