@@ -32,3 +32,35 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             OR 2 * exclamations > n_words OR 2 * capitals > n_words) AS kept
 FROM b
 """
+
+DECONTAMINATION = r"""
+WITH words AS (
+  SELECT 'd' AS kind, row_number() OVER () AS r, doc_id AS id,
+         list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM documents
+  UNION ALL
+  SELECT 'b', row_number() OVER (), item_id,
+         list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')
+  FROM benchmark
+), items AS (
+  SELECT id AS item_id, least(13, len(w)) AS n, unnest(list_transform(range(1, greatest(len(w) - 11, 2)),
+         lambda i: array_to_string(w[i:i + 12], ' '))) AS win
+  FROM words WHERE kind = 'b' AND len(w) > 0
+), lens AS (SELECT DISTINCT n FROM items
+), dwin AS (
+  SELECT r, n, unnest(list_transform(range(1, greatest(len(w) - n + 2, 1)), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS win,
+         unnest(range(0, greatest(len(w) - n + 1, 0))) AS pos
+  FROM words, lens WHERE kind = 'd'
+), hit AS (
+  SELECT r, dwin.n, pos, item_id FROM dwin JOIN items ON dwin.win = items.win AND dwin.n = items.n
+), cov AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(pos, pos + n)) AS p FROM hit) GROUP BY r
+), its AS (
+  SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hit GROUP BY r
+)
+SELECT id AS doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM words LEFT JOIN cov USING (r) LEFT JOIN its USING (r) WHERE kind = 'd'
+"""

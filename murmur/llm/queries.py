@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from murmur.llm import oracles, quality
+from murmur.llm import decontam, oracles, quality
 from murmur.llm.common import table
 
 
@@ -16,13 +16,22 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.contamination(docs, table(spark, sf_dir, "benchmark")).select(
+        F.col("key").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op6_quality_rules": op6_quality_rules,
+        "op9_benchmark_decontamination": op9_benchmark_decontamination,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op6_quality_rules": oracles.QUALITY,
+        "op9_benchmark_decontamination": oracles.DECONTAMINATION,
     }
