@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from murmur.llm import decontam, oracles, quality
-from murmur.llm.common import table
+from murmur.llm import decontam, langid, oracles, quality
+from murmur.llm.common import remainder, table
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +16,14 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.where(remainder(F.col("doc_id"), 4) != 2).select("text", "lang"))
+    return langid.identify(docs.select("doc_id", "text"), model).select(
+        F.col("key").alias("doc_id"), F.coalesce(remainder(F.col("key"), 4) == 2, F.lit(False)).alias("held_out"),
+        "lang_pred", "score")
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontam.contamination(docs, table(spark, sf_dir, "benchmark")).select(
@@ -26,6 +34,7 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op6_quality_rules": op6_quality_rules,
+        "op8_language_id": op8_language_id,
         "op9_benchmark_decontamination": op9_benchmark_decontamination,
     }
 
