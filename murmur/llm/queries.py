@@ -6,10 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from murmur.llm import decontam, langid, oracles, quality
+from murmur.llm import decontam, langid, oracles, quality, toxicity
 from murmur.llm.common import remainder, table
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(remainder(F.col("doc_id"), 3) != 1)
+    lexicon = toxicity.fit(toxicity.labelled(docs, labels))
+    return toxicity.score(docs, lexicon).select(
+        F.col("key").alias("doc_id"), F.coalesce(remainder(F.col("key"), 3) == 1, F.lit(False)).alias("held_out"),
+        "score", "predicted")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.judge(docs).select(
@@ -33,6 +42,7 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_toxicity": op2_toxicity,
         "op6_quality_rules": op6_quality_rules,
         "op8_language_id": op8_language_id,
         "op9_benchmark_decontamination": op9_benchmark_decontamination,
