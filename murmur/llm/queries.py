@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from murmur.llm import decontam, langid, oracles, quality, toxicity
+from murmur.llm import decontam, langid, oracles, quality, sentencepiece_fst, toxicity
 from murmur.llm.common import remainder, table
 
 
@@ -19,6 +19,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score", "predicted")
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentencepiece_fst.encode(docs).withColumnRenamed("key", "doc_id")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.judge(docs).select(
@@ -43,6 +48,7 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_toxicity": op2_toxicity,
+        "op4_sentencepiece": op4_sentencepiece,
         "op6_quality_rules": op6_quality_rules,
         "op8_language_id": op8_language_id,
         "op9_benchmark_decontamination": op9_benchmark_decontamination,
