@@ -67,8 +67,9 @@ class Transducer:
         # Where no piece can cross: before a space after something else, and around a line feed.
         crossing = any(SPACE in p.lstrip(SPACE) or "\n" in p for p in self.ids)
         parts = [f"{SPACE}*[^{SPACE}\\n]+", f"{SPACE}+", "\\n"]
-        if not any(re.search(r"[^\W\d_][.,]", p) for p in self.ids):     # nor between a letter and a stop
-            parts.insert(0, rf"{SPACE}*[^\W\d_]+(?=[.,])")
+        joined = {p[k] for p in self.ids for k in range(len(p) - 1) if p[k + 1] in ".,"} - {".", ","}
+        letters = re.escape("".join(sorted(joined)))        # nor between other letters than these and a stop
+        parts.insert(0, rf"{SPACE}*[^\W\d_]*[^\W\d_{letters}](?=[.,])")
         self.part = re.compile("|".join(parts) if not crossing else r"(?s).+")
         # Decoding: the text of each id; bytes from 0x80 on only have one together.
         self.high = {i: b for b, i in byte_ids.items() if b >= 0x80}
