@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from murmur.llm import decontam, langid, oracles, quality, sentencepiece_fst, toxicity
+from murmur.llm import chat, decontam, html_text, langid, oracles, quality, sentencepiece_fst, toxicity
 from murmur.llm.common import remainder, table
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where(remainder(F.col("doc_id"), 3) != 1)
@@ -45,12 +49,21 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    return chat.digest(chat.windows(turns.unionByName(probe))).withColumnRenamed("conv", "conv_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_html_extraction": op1_html_extraction,
         "op2_toxicity": op2_toxicity,
         "op4_sentencepiece": op4_sentencepiece,
         "op6_quality_rules": op6_quality_rules,
         "op8_language_id": op8_language_id,
+        "op10_chat_format": op10_chat_format,
         "op9_benchmark_decontamination": op9_benchmark_decontamination,
     }
 
