@@ -64,3 +64,13 @@ SELECT id AS doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM words LEFT JOIN cov USING (r) LEFT JOIN its USING (r) WHERE kind = 'd'
 """
+
+WARC = r"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first IS NOT NULL AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from murmur.llm import chat, decontam, html_text, langid, oracles, quality, sentencepiece_fst, toxicity
+from murmur.llm import chat, decontam, html_text, langid, oracles, quality, sentencepiece_fst, toxicity, warc
 from murmur.llm.common import remainder, table
 
 
@@ -28,6 +28,13 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_fst.encode(docs).withColumnRenamed("key", "doc_id")
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.archive_and_read(table(spark, sf_dir, "pages"))
+    page = lambda c: F.when(F.col(c) != "None", F.col(c)).cast("long")
+    return records.select(page("page").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                          page("refers_to").alias("refers_to"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.judge(docs).select(
@@ -61,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_html_extraction": op1_html_extraction,
         "op2_toxicity": op2_toxicity,
         "op4_sentencepiece": op4_sentencepiece,
+        "op5_warc": op5_warc,
         "op6_quality_rules": op6_quality_rules,
         "op8_language_id": op8_language_id,
         "op10_chat_format": op10_chat_format,
@@ -70,6 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op5_warc": oracles.WARC,
         "op6_quality_rules": oracles.QUALITY,
         "op9_benchmark_decontamination": oracles.DECONTAMINATION,
     }
