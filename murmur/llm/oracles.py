@@ -74,3 +74,26 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN page_id <> first THEN first END AS refers_to
 FROM p LEFT JOIN f USING (payload_digest)
 """
+
+JACCARD = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                             '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+                                           WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS g
+  FROM d
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1
+), links AS (
+  SELECT x, y FROM (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2) p
+  JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+  WHERE 100 * c >= 85 * (nx.n + ny.n - c)
+), r AS (
+  SELECT doc_id, doc_id AS other FROM d
+  UNION
+  SELECT r.doc_id, links.y FROM r JOIN links ON links.x = r.other
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(other) AS component_id FROM r GROUP BY 1) m USING (doc_id)
+"""

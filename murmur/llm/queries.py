@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from murmur.llm import chat, decontam, html_text, langid, oracles, quality, sentencepiece_fst, toxicity, warc
+from murmur.llm import chat, decontam, html_text, jaccard_join, langid, oracles, quality, sentencepiece_fst, toxicity, warc
 from murmur.llm.common import remainder, table
 
 
@@ -23,6 +23,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score", "predicted")
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_join.join(docs).select(F.col("key").alias("doc_id"), "n_shingles", "component_id")
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sentencepiece_fst.encode(docs).withColumnRenamed("key", "doc_id")
@@ -67,6 +72,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_extraction": op1_html_extraction,
         "op2_toxicity": op2_toxicity,
+        "op3_jaccard_join": op3_jaccard_join,
         "op4_sentencepiece": op4_sentencepiece,
         "op5_warc": op5_warc,
         "op6_quality_rules": op6_quality_rules,
@@ -78,6 +84,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_jaccard_join": oracles.JACCARD,
         "op5_warc": oracles.WARC,
         "op6_quality_rules": oracles.QUALITY,
         "op9_benchmark_decontamination": oracles.DECONTAMINATION,
