@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from murmur.llm.common import sized_join
+from murmur.llm.common import sized_join, stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -120,12 +120,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     flags = (contamination(docs, benchmark, key, text, **kw).where("contaminated")
              .select(F.col("key").alias("_k"), F.col("text_hash").alias("_h"), F.col("no_text").alias("_n"), F.col("hits").alias("_hits"))
              .dropDuplicates(["_k", "_h", "_n"]))
+    flags = stored(flags, "contaminated")
     packed = docs.select(F.struct("*").alias("row"), F.col(key).alias("k"), F.col(text).alias("t"))
     same = F.col("k").eqNullSafe(F.col("_k")) & (F.xxhash64("t") == F.col("_h")) & (F.col("t").isNull() == F.col("_n"))
     if remove == "documents":
-        return packed.join(flags, same, "left_anti").select("row.*")
+        return sized_join(packed, flags, same, "left_anti").select("row.*")
     words = words_of(F.col("t"))
     left = F.filter(words, lambda w, i: ~F.exists("_hits", lambda s: (i >= s["pos"]) & (i < s["pos"] + s["len"])))
     out = F.when(F.col("_k").isNull() & F.col("_h").isNull(), F.col("t")).otherwise(F.array_join(left, " "))
     cols = [out.alias(text) if c == text else F.col(f"row.{c}") for c in docs.columns]
-    return packed.join(flags, same, "left").select(*cols)
+    return sized_join(packed, flags, same, "left").select(*cols)

@@ -285,14 +285,9 @@ def _block_pairs(buckets: DataFrame, sets: DataFrame, comp: DataFrame, threshold
             .mapInArrow(run, "a long, b long").distinct())
 
 
-def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, k: int = SHINGLE) -> DataFrame:
-    """Per row of ``docs``: ``key``, ``n_shingles``, ``component_id`` (least key reachable
-    by links) and ``node`` (equal for equal sets).
-
-    Empty and null texts are linked with nothing (their component is their own
-    key).  Equal rows share a component.  A null key takes part in links but is
-    never the least; a component of null keys only has a null id.
-    """
+def linked_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, k: int = SHINGLE) -> DataFrame:
+    """id, text_hash, n and ``comp`` of every row of ``docs``: rows of equal ``comp`` are
+    linked, directly or through others.  Rows without words have n = 0 and are linked with nothing."""
     d = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).withColumn("text_hash", F.xxhash64("text"))
     rows = stored(_summaries(d, k), "shingle-rows")
     w = Window.partitionBy("sig")
@@ -306,8 +301,36 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: in
     found = components(edges)
     more = stored(_verified(_block_pairs(buckets, sets, found, threshold), sets, threshold), "block-links")
     found = components(edges.unionByName(more))
-    rows = rows.join(found.select(F.col("node").alias("fp"), "comp"), "fp", "left").withColumn("comp", F.coalesce("comp", "fp"))
-    least = rows.groupBy("comp").agg(F.min("id").alias("least"), F.count("*").alias("members")).where("members > 1").select("comp", "least")
+    return (rows.join(found.select(F.col("node").alias("fp"), "comp"), "fp", "left")
+            .select("id", "text_hash", "n", F.coalesce("comp", "fp").alias("comp")))
+
+
+def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, k: int = SHINGLE) -> DataFrame:
+    """Per row of ``docs``: ``key``, ``n_shingles`` and ``component_id`` (least key reachable by links).
+
+    Empty and null texts are linked with nothing (their component is their own
+    key).  Equal rows share a component.  A null key takes part in links but is
+    never the least; a component of null keys only has a null id.
+    """
+    rows = linked_rows(docs, key, text, threshold, k)
+    least = (rows.where("n > 0").groupBy("comp").agg(F.min("id").alias("least"), F.count("*").alias("members"))
+             .where("members > 1").select("comp", "least"))
     return (rows.join(least, "comp", "left")
             .select(F.col("id").alias("key"), F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") == 0, F.col("id")).otherwise(F.coalesce("least", "id")).alias("component_id"), F.col("fp").alias("node")))
+                    F.when(F.col("n") == 0, F.col("id")).otherwise(F.coalesce("least", "id")).alias("component_id")))
+
+
+def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, k: int = SHINGLE) -> DataFrame:
+    """Rows of ``docs``, with their own columns: one of each component stays, that of
+    the least non-null key (then text hash); of rows equal in both, any one.  Rows without words all stay.
+    """
+    rows = linked_rows(docs, key, text, threshold, k)
+    each = rows.groupBy("comp", "n", "id", "text_hash").agg(F.count("*").alias("copies"))
+    best = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash", "copies"))
+    kept = (each.where("n > 0").groupBy("comp").agg(best.alias("best")).select("best.id", "best.text_hash", "best.copies")
+            .unionByName(each.where("n = 0").select("id", "text_hash", F.lit(1).cast("long").alias("copies")).distinct()))
+    kept = stored(kept.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), "copies"), "kept-rows")
+    packed = docs.select(F.struct("*").alias("row"), F.col(key).alias("id"), F.xxhash64(text).alias("hash"))
+    found = sized_join(packed, kept, F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash")), "inner")
+    once = found.where("copies = 1").select("row.*")
+    return once.unionByName(found.where("copies > 1").dropDuplicates(["id", "hash"]).select("row.*"))

@@ -59,17 +59,17 @@ def with_stats(df: DataFrame, text: str = "text") -> DataFrame:
     """
     t = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    # Words and lines are bound inside one expression each: as columns of their own, a filter on
+    # top could make Spark compute them anew for every window.
+    words = let(words_of(F.col("text")), lambda w: F.struct(
+        F.size(w).cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+        repeated_words(w, F.size(w)).alias("n_repeat_words")))
+    lines = let(lines, lambda x: F.struct(
+        F.size(x).cast("long").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines")))
     return (df.select(F.struct("*").alias("row"), F.col(text).alias("text"))
-            .withColumn("words", words_of(F.col("text")))
-            .withColumn("lines", lines)
-            .select("row", "text", "words",
-                    F.size("words").cast("long").alias("n_words"),
-                    F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
-                    F.regexp_count(t, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
-                    F.size("lines").cast("long").alias("n_lines"),
-                    (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"))
-            .select("row", "text", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines",
-                    repeated_words(F.col("words"), F.size("words")).alias("n_repeat_words")))
+            .select("row", "text", words.alias("w"), lines.alias("l"),
+                    F.regexp_count(t, F.lit(SYMBOLS)).cast("long").alias("n_symbols"))
+            .select("row", "text", "w.n_words", "w.word_chars", "n_symbols", "l.n_lines", "l.n_dup_lines", "w.n_repeat_words"))
 
 
 def base_failed() -> Column:
@@ -141,4 +141,6 @@ def judge(df: DataFrame, text: str = "text", rules: Mapping[str, Column] | None
 
 def quality_filter(df: DataFrame, text: str = "text") -> DataFrame:
     """Rows of ``df`` that the cascade keeps, with their own columns."""
-    return judge(df, text).where("kept").select("row.*")
+    # The generator keeps the filter above the statistics, so that they are computed once.
+    kept = F.when(F.col("kept"), F.array("row"))
+    return judge(df, text).select(F.explode_outer(kept).alias("row")).where("row IS NOT NULL").select("row.*")

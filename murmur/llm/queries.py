@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from murmur.llm import chat, decontam, html_text, jaccard_join, langid, oracles, quality, sentencepiece_fst, toxicity, warc
-from murmur.llm.common import remainder, table
+from murmur.llm import chat, decontam, html_text, jaccard_join, langid, lm_score, oracles, quality, sentencepiece_fst, toxicity, warc
+from murmur.llm.common import remainder, sized_join, table
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +47,14 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    good = (table(spark, sf_dir, "labels").where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
+            .withColumn("is_target", F.lit(True)))
+    model = lm_score.fit(sized_join(docs, good, "doc_id", "left"))
+    return lm_score.score(docs, model).withColumnRenamed("key", "doc_id")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.fit(docs.where(remainder(F.col("doc_id"), 4) != 2).select("text", "lang"))
@@ -70,12 +79,14 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_html_extraction": op1_html_extraction,
         "op2_toxicity": op2_toxicity,
         "op3_jaccard_join": op3_jaccard_join,
         "op4_sentencepiece": op4_sentencepiece,
         "op5_warc": op5_warc,
         "op6_quality_rules": op6_quality_rules,
+        "op7_lm_score": op7_lm_score,
         "op8_language_id": op8_language_id,
         "op10_chat_format": op10_chat_format,
         "op9_benchmark_decontamination": op9_benchmark_decontamination,
@@ -83,7 +94,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return pipeline | {
         "op3_jaccard_join": oracles.JACCARD,
         "op5_warc": oracles.WARC,
         "op6_quality_rules": oracles.QUALITY,
