@@ -202,29 +202,51 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
             .select("a", "b", "members_a", "members_b").mapInArrow(exact, "a long, b long"))
 
 
+def _forest(edges: DataFrame) -> DataFrame:
+    """Edges (u, v), u > v, with the same components and at most one per node and task:
+    each task links the nodes of its edges to the least one it can reach."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (up := parent.setdefault(x, x)) != x:
+                parent[x] = x = parent[up]
+            return x
+
+        for batch in batches:
+            for a, b in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist()):
+                a, b = root(a), root(b)
+                parent[max(a, b)] = min(a, b)
+        ends = [(x, root(x)) for x in list(parent)]
+        ends = [(x, r) for x, r in ends if x != r]
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in ends], pa.int64()), pa.array([r for _, r in ends], pa.int64())], names=["u", "v"])
+
+    return edges.select("u", "v").mapInArrow(run, "u long, v long")
+
+
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     """``node``, ``comp`` (least node reachable) of every node of ``edges(a, b)``.
 
-    Large-star and small-star steps in turn until nothing changes: each only
-    takes minima by key and joins them back, so no task holds a component.
+    Tasks first shrink their edges to forests; then large-star and small-star steps
+    alternate until only stars are left.  Those take minima by key and join
+    them back, so no task holds a component.
     """
-    e = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    state = None
+    e = stored(_forest(stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")), "edges")).distinct(), "forest")
     for _ in range(rounds):
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = (down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v")
-                 .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-        e = stored(small, "edges")
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == now:
+        ends = (e.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("top"))
+                .unionByName(e.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("top")))
+                .groupBy("x").agg(F.sum("up").alias("ups"), F.max("top").alias("top")))
+        if not ends.where("ups > 1 OR (ups = 1 AND top = 1)").limit(1).count():         # stars only
             return e.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(
                 e.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
-        state = now
+        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        large = (both.join(least, "u").where("v > u").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
+                 .where("u <> v").distinct())
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = (large.join(least, "u").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
+                 .unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v"))
+        e = stored(_forest(stored(small, "stars")).distinct(), "forest")
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
@@ -300,7 +322,7 @@ def linked_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", thresh
     edges = stored(_verified(stars, sets, threshold), "star-links")
     found = components(edges)
     more = stored(_verified(_block_pairs(buckets, sets, found, threshold), sets, threshold), "block-links")
-    found = components(edges.unionByName(more))
+    found = components(found.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(more))
     return (rows.join(found.select(F.col("node").alias("fp"), "comp"), "fp", "left")
             .select("id", "text_hash", "n", F.coalesce("comp", "fp").alias("comp")))
 
