@@ -14,9 +14,9 @@ REGION_SEP = " \\| "        # blank, escaped bar, blank (a bar alone does not sp
 COUNTERS = ("reposts_count", "comments_count", "attitudes_count")
 
 
-def parse_posts(raw: DataFrame, col: str = "json_data") -> DataFrame:
-    """JSON message column -> 21 typed post fields (bad JSON gives NULLs)."""
-    return raw.select(*post_fields(F.col(col)))
+def parse_posts(raw: DataFrame, col: str = "json_data", keep: tuple[str, ...] = ()) -> DataFrame:
+    """JSON message column -> 21 typed post fields (bad JSON gives NULLs), and the columns ``keep`` of ``raw``."""
+    return raw.select(*post_fields(F.col(col)), *keep)
 
 
 def drop_unused(df: DataFrame) -> DataFrame:

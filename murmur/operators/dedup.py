@@ -2,29 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order_col: str | None = None) -> DataFrame:
     """Keep one row per ``keys``: the one with the largest ``order_col``.
 
-    Ties (and a NULL ``order_col``) are broken by the remaining columns, so
-    the survivor does not depend on partitioning.  Implemented as
-    ``max_by`` inside a hash aggregate: partial aggregation collapses
-    duplicates before the shuffle, so a key holding a third of all rows
-    costs one row per map task, not one giant group.
+    Ties (and a NULL ``order_col``) go to the largest hash of the remaining
+    columns, so the survivor does not depend on partitioning.  ``row_number() = 1``
+    plans as a group limit on both sides of the shuffle: each task sends one
+    row per key, so a key holding a third of all rows costs a row per map task,
+    and rows are ordered by narrow columns, never by their texts.
     """
     others = [c for c in df.columns if c not in keys]
     if not others:
         return df.dropDuplicates(keys)
-    order = [F.col(order_col)] if order_col else []
-    order += [F.col(c) for c in others if c != order_col and _orderable(df, c)]
-    packed = F.struct(*[F.col(c) for c in others]).alias("_row")
-    rank_key = F.struct(*order) if order else F.lit(0)
-    out = df.groupBy(*keys).agg(F.max_by(packed, rank_key).alias("_row"))
-    return out.select(*[F.col(k) for k in keys], *[F.col("_row." + c).alias(c) for c in others]).select(*df.columns)
-
-
-def _orderable(df: DataFrame, c: str) -> bool:
-    t = df.schema[c].dataType.typeName()
-    return t not in ("map", "array", "struct", "binary", "vector")
+    plain = [c for c in others if df.schema[c].dataType.typeName() not in ("map", "vector", "variant")]
+    order = ([F.col(order_col).desc_nulls_last()] if order_col else []) + [F.xxhash64(*[F.col(c) for c in plain]).desc()]
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_nth", nth).where("_nth = 1").drop("_nth")

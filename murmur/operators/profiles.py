@@ -77,10 +77,31 @@ def user_time_stats(scored: DataFrame) -> DataFrame:
 
 
 def user_time_profile(scored: DataFrame, run_ts: str | None = None) -> DataFrame:
-    out = (user_time_stats(scored)
-           .join(user_period_pref(scored), "user_id", "left")
-           .join(user_prefer_hour(scored), "user_id", "left")
-           .na.fill(0.0, ["hourly_sentiment_stddev"]))
+    """:func:`user_time_stats`, :func:`user_period_pref` and :func:`user_prefer_hour` in one pass.
+
+    The period is a function of the hour, so the posts are reduced once to
+    (user, period, hour) rows with counts and power sums of the scores; the at most
+    25 such rows of a user give the period, hour and user level.
+    """
+    name = F.when(F.col("screen_name").isNotNull(), F.struct("created_at", "id", "screen_name"))
+    cell = (known_users(scored).groupBy("user_id", "time_period", "hour")
+            .agg(F.count(F.lit(1)).alias("cnt"), F.count("score").alias("n"), F.sum("score").alias("s"),
+                 F.sum(F.col("score") * F.col("score")).alias("s2"), F.min(name).alias("name"))
+            .withColumn("by_hour", F.struct((-F.col("cnt")).alias("k"), "hour"))
+            .withColumn("night", F.when(is_night(F.col("hour")), F.col("cnt")).otherwise(0)))
+    period = (cell.groupBy("user_id", "time_period")
+              .agg(*[F.sum(c).alias(c) for c in ("cnt", "n", "s", "s2", "night")], F.min("name").alias("name"), F.min("by_hour").alias("by_hour"))
+              .withColumn("avg", F.col("s") / F.when(F.col("n") > 0, F.col("n"))))
+    tp, avg, n, total = F.col("time_period"), F.col("avg"), F.sum("n"), F.sum("s")
+    spread = F.sqrt(F.greatest(F.lit(0.0), F.sum("s2") - total * total / F.when(n > 0, n)) / F.when(n > 1, n - 1))
+    out = period.groupBy("user_id").agg(
+        F.coalesce(F.round(spread, 4), F.lit(0.0)).alias("hourly_sentiment_stddev"),
+        F.min("name")["screen_name"].alias("screen_name"),
+        F.round(F.sum("night") / F.sum("cnt"), 4).alias("night_post_ratio"),
+        F.min_by(tp, F.struct(-F.col("cnt"), tp)).alias("prefer_time_period"),
+        F.min_by(tp, F.struct(avg.isNotNull(), avg, tp)).alias("emo_time_period"),
+        F.min_by(tp, F.struct(avg.isNull(), -avg, tp)).alias("high_time_period"),
+        F.min("by_hour")["hour"].alias("prefer_hour"))
     return stamp(out, run_ts)
 
 

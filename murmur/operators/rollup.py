@@ -64,6 +64,33 @@ def refresh_rollup(spark, posts: DataFrame, path: str, days: list[str] | None =
         .partitionBy("dt").parquet(path))
 
 
+def day_marks(posts: DataFrame) -> DataFrame:
+    """``dt`` with the number and hash sum of its rows: differs if any row of the day does."""
+    row = F.xxhash64(*[F.col(c) for c in sorted(posts.columns)]).cast("decimal(38,0)")
+    return posts.groupBy("dt").agg(F.count(F.lit(1)).alias("n"), F.sum(row).alias("h"))
+
+
+def refresh_changed(spark, posts: DataFrame, path: str) -> list[str]:
+    """Refresh the rollup of exactly the days whose rows changed since the last
+    call (new, late, updated or removed rows; a day left without rows keeps an empty
+    rollup); returns them.  The marks of the days are kept beside the rollup and
+    written after it, so a failed refresh is repeated."""
+    from murmur.sinks.lake import read_versioned, write_versioned
+    marks = day_marks(posts)
+    old = read_versioned(spark, f"{path.rstrip('/')}_marks", marks.schema)
+    same = marks.join(old, ["dt", "n", "h"], "left_semi").select("dt")
+    days = sorted(r[0] for r in marks.select("dt").union(old.select("dt")).distinct().join(same, "dt", "left_anti").collect())
+    if days:
+        gone = {r[0] for r in old.select("dt").join(marks, "dt", "left_anti").collect()}
+        if left := [d for d in days if d not in gone]:
+            refresh_rollup(spark, posts, path, days=left)
+        for d in gone:
+            hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/dt={d}")
+            hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+        write_versioned(spark, marks, f"{path.rstrip('/')}_marks")
+    return days
+
+
 def merged(rollup: DataFrame, dims: tuple[str, ...], since: str | None = None,
            until: str | None = None) -> DataFrame:
     """Merge days of one grouping set: counts and sums add up exactly."""

@@ -3,8 +3,10 @@
 The original collects all new posts to the driver and sends one HTTP body to
 a model service.  Here texts are deduplicated (each distinct text is scored
 once, as the original's text-keyed result map implies), scored on the
-executors, and joined back.  A scorer is any ``DataFrame[_text] ->
-DataFrame[_text, <outputs>]``; three kinds are provided: native lexicon
+executors, and joined back on a 256-bit hash, so texts are shuffled once at
+most.  A scorer is any ``DataFrame[_text, ...] -> DataFrame[_text, ..., <outputs>]``; one that
+only adds columns per row (``in_place``) is applied to the posts themselves,
+with no shuffle at all.  Three kinds are provided: native lexicon
 rules (column expressions), a fitted Spark ML model, and an Arrow-batched
 pandas function (``mapInPandas``) for an external model with a
 list-of-texts -> list-of-results contract.
@@ -38,8 +40,8 @@ def lexicon_sentiment(vocab: Vocab = REFERENCE) -> Scorer:
         score = (pos + 1).cast("double") / (pos + neg + 2)
         label = (F.when(score > 0.5, vocab.positive).when(score < 0.5, vocab.negative).otherwise(vocab.neutral))
         lid = F.when(score > 0.5, 2).when(score < 0.5, 0).otherwise(1)
-        return texts.select("_text", label.alias("label"), lid.alias("label_id"), score.alias("score"),
-                            F.abs(score * 2 - 1).alias("confidence"))
+        return texts.withColumns({"label": label, "label_id": lid, "score": score, "confidence": F.abs(score * 2 - 1)})
+    scorer.in_place = True
     return scorer
 
 
@@ -53,11 +55,11 @@ def lexicon_topic(vocab: Vocab = REFERENCE) -> Scorer:
         best = F.array_max(cands)
         total = sum((h for h, _, _ in hits), F.lit(0))
         has = best["h"] > 0
-        return texts.select(
-            "_text",
-            F.when(has, best["name"]).alias("topic_label"),
-            F.when(has, best["i"]).alias("topic_id"),
-            F.when(has, best["h"].cast("double") / total).otherwise(F.lit(0.0)).alias("confidence"))
+        return texts.withColumns({
+            "topic_label": F.when(has, best["name"]),
+            "topic_id": F.when(has, best["i"]),
+            "confidence": F.when(has, best["h"].cast("double") / total).otherwise(F.lit(0.0))})
+    scorer.in_place = True
     return scorer
 
 
@@ -96,15 +98,24 @@ def pandas_scorer(fn: Callable, schema: T.StructType) -> Scorer:
 
 
 def score_text(df: DataFrame, scorer: Scorer, text_col: str = "text", dedup: bool = True) -> DataFrame:
-    """Score each post's text; equal texts share one scoring (joined back on the text)."""
+    """Score each post's text; results replace same-named columns of the input.
+
+    In-place scorers run on the posts.  For the others equal texts share one
+    scoring: one text per hash goes to the scorer (a partial aggregate, so a
+    widely copied text costs a row per task) and the results, without texts,
+    are joined back on the hash.
+    """
     src = df.where(nonempty(F.col(text_col)))
-    texts = src.select(F.col(text_col).alias("_text"))
+    if getattr(scorer, "in_place", False):
+        return scorer(src.withColumn("_text", F.col(text_col))).drop("_text")
+    src = src.withColumn("_hash", F.sha2(F.col(text_col), 256))
+    texts = src.select("_hash", F.col(text_col).alias("_text"))
     if dedup:
-        texts = texts.distinct()
-    scored = scorer(texts)
-    # the new results replace same-named columns of the input
-    src = src.drop(*[c for c in scored.columns if c != "_text" and c in src.columns and c != text_col])
-    return src.join(scored, src[text_col] == scored["_text"], "inner").drop("_text")
+        texts = texts.groupBy("_hash").agg(F.first("_text").alias("_text"))
+    scored = scorer(texts.select("_text"))
+    results = [c for c in scored.columns if c != "_text"]
+    scored = scored.select(F.sha2("_text", 256).alias("_hash"), *results)
+    return src.drop(*[c for c in results if c in src.columns and c != text_col]).join(scored, "_hash").drop("_hash")
 
 
 def unscored_rows(day_posts: DataFrame, done: DataFrame) -> DataFrame:

@@ -77,8 +77,8 @@ def eval_classifier(pred: DataFrame, label_col: str = "label", pred_col: str = "
             .withColumn("accuracy", F.round(F.col("correct") / F.col("total"), 6)))
 
 
-def misjudged(pred: DataFrame, n: int = 20) -> tuple[DataFrame, DataFrame]:
-    """Valid posts predicted spam, and spam predicted valid (first ``n`` by text)."""
+def misjudged(pred: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Valid posts predicted spam, and spam predicted valid; all of them (callers that show a few take a limit)."""
     fn = pred.where((F.col("label") == 1.0) & (F.col("prediction") == 0.0)).select("text", "label", "prediction")
     fp = pred.where((F.col("label") == 0.0) & (F.col("prediction") == 1.0)).select("text", "label", "prediction")
-    return fn.orderBy("text").limit(n), fp.orderBy("text").limit(n)
+    return fn, fp

@@ -29,9 +29,14 @@ def _posts(s, d):
     return posts_view(s, d, vocab=V)
 
 
-# SRC4: a fully replayed copy of every post, collapsed back by (dt, id)
+# SRC4: every post crawled twice with the same created_at; the copy that arrived last wins, whatever its values
+def _recrawled(s, d):
+    first = _posts(s, d).withColumn("reposts_count", F.col("reposts_count") + 500).withColumn("batch_id", F.lit(0))
+    return first.unionByName(_posts(s, d).withColumn("batch_id", F.lit(1)))
+
+
 register("read_table_dedup", with_posts(f"SELECT {VIEW_COLS} FROM posts", V))(
-    lambda s, d: _present(read_table_dedup(_posts(s, d).unionByName(_posts(s, d)))))
+    lambda s, d: _present(read_table_dedup(_recrawled(s, d)).drop("batch_id")))
 
 # SRC5/6: one day partition
 register("read_day", with_posts(f"SELECT {VIEW_COLS} FROM posts WHERE dt = '2024-01-15'", V))(
@@ -39,24 +44,29 @@ register("read_day", with_posts(f"SELECT {VIEW_COLS} FROM posts WHERE dt = '2024
 
 # SRC8/SO2: training-text sample (bid, text), first 10 000 by id
 register("export_text_sample", with_posts(
-    "SELECT bid, text FROM posts WHERE text IS NOT NULL AND text <> '' ORDER BY id LIMIT 10000", V, with_text=True))(
-    lambda s, d: read_text_sample(posts_with_text(s, d, V), 10000))
+    "SELECT bid, text FROM posts WHERE text IS NOT NULL AND text <> '' ORDER BY id LIMIT 500", V, with_text=True))(
+    lambda s, d: read_text_sample(posts_with_text(s, d, V), 500))
 
-# SNK9 (lake form): re-crawled counters of the last three days replace the old rows
+# SNK9 (lake form): re-crawled counters of the last three days replace the old rows, each crawled
+# twice (the copy with more reposts wins), and a tenth of them again under a new id (inserts)
 _NEW_SQL = ("SELECT id, bid, user_id, screen_name, topics, reposts_count + 1 AS reposts_count, comments_count, "
             "attitudes_count, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at, location, "
             "user_authentication, label, score, confidence, topic_label, hour, time_period, dt "
             "FROM posts WHERE dt >= '2024-01-28'")
+_INSERT_SQL = _NEW_SQL.replace("SELECT id,", "SELECT 'n' || id AS id,").replace("WHERE dt", "WHERE CAST(id AS BIGINT) % 10 = 0 AND dt")
 
 
 def _upsert(s, d):
     old = _posts(s, d)
     new = old.where(F.col("dt") >= "2024-01-28").withColumn("reposts_count", F.col("reposts_count") + 1)
-    return _present(upsert_merge(old, new, ["id"]))
+    extra = new.where("CAST(id AS BIGINT) % 10 = 0").withColumn("id", F.concat(F.lit("n"), "id"))
+    new = new.unionByName(extra)
+    stale = new.withColumn("reposts_count", F.col("reposts_count") - 1)
+    return _present(upsert_merge(old, stale.unionByName(new), ["id"], "reposts_count"))
 
 
 register("upsert_merge", with_posts(
-    f"SELECT {VIEW_COLS} FROM posts WHERE NOT (dt >= '2024-01-28') UNION ALL {_NEW_SQL}", V))(_upsert)
+    f"SELECT {VIEW_COLS} FROM posts WHERE NOT (dt >= '2024-01-28') UNION ALL {_NEW_SQL} UNION ALL {_INSERT_SQL}", V))(_upsert)
 
 # SNK12: only days after the last processed one
 register("incremental_since", with_posts(
@@ -78,14 +88,22 @@ register("dedup_latest", with_posts(
 
 
 # STR1-STR6: the given posts as JSON message files -> streaming ingest -> landing table
-def _stream_ingest(s, d):
-    base = scratch_path(s, "stream")
-    raw_messages(posts_with_text(s, d, V)).write.text(f"{base}/in")
-    q = write_posts_stream(clean_stream(read_post_stream(s, "files", f"{base}/in"), V),
-                           f"{base}/out", f"{base}/ckpt", available_now=True)
+def _message_stream(s, messages, base):
+    """The messages dealt over five files, each with posts of all days, read one file a micro-batch."""
+    messages.repartition(5, F.xxhash64("json_data")).write.text(f"{base}/in")
+    return read_post_stream(s, "files", f"{base}/in", max_files_per_trigger=1)
+
+
+def _finish(q):
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+
+
+def _stream_ingest(s, d):
+    base = scratch_path(s, "stream")
+    raw = _message_stream(s, raw_messages(posts_with_text(s, d, V)), base)
+    _finish(write_posts_stream(clean_stream(raw, V), f"{base}/out", f"{base}/ckpt", available_now=True))
     return _present(read_landing(s, f"{base}/out"))
 
 
@@ -96,11 +114,27 @@ register("stream_ingest", with_posts(
     V, with_text=True))(_stream_ingest)
 
 
+# STR2: messages whose time cannot be read are kept aside, not dropped
+def _stream_rejected(s, d):
+    from murmur.streaming.ingest import rejected_stream, write_rejected_stream
+    base = scratch_path(s, "rejected")
+    raw = raw_messages(posts_with_text(s, d, V))
+    spoilt = F.get_json_object("json_data", "$.id").cast("long") % 10 == 0
+    raw = raw.withColumn("json_data", F.when(spoilt, F.regexp_replace("json_data", '"created_at":"[^"]*"', '"created_at":"soon"'))
+                         .otherwise(F.col("json_data")))
+    _finish(write_rejected_stream(rejected_stream(_message_stream(s, raw, base), V), f"{base}/out", f"{base}/ckpt", available_now=True))
+    return s.read.parquet(f"{base}/out").select("id", "bid", "user_id", "text")
+
+
+register("stream_rejected", with_posts("SELECT id, bid, user_id, text FROM posts WHERE CAST(id AS BIGINT) % 10 = 0", V, with_text=True))(
+    _stream_rejected)
+
+
 # SRC3: labelled posts written as a header CSV, read back with the training reader
 def _training_csv(s, d):
     from murmur.sources.files import read_training_csv
     from murmur.sources.tables import table
-    path = scratch_path(s, "train-csv")
+    path = scratch_path(s, "train-csv") + "/csv"
     p = posts_with_text(s, d, V, keep_doc_id=True).drop("label")
     lab = table(s, d, "labels").select("doc_id", F.col("quality").cast("string").alias("label"))
     (p.join(lab, "doc_id")
@@ -123,14 +157,11 @@ register("training_csv", with_posts(
 def _stream_hourly(s, d):
     from murmur.streaming.ingest import hourly_volume_stream
     base = scratch_path(s, "hourly")
-    raw_messages(posts_with_text(s, d, V)).write.text(f"{base}/in")
-    posts = clean_stream(read_post_stream(s, "files", f"{base}/in"), V)
+    posts = clean_stream(_message_stream(s, raw_messages(posts_with_text(s, d, V)), base), V)
     q = (hourly_volume_stream(posts).writeStream.outputMode("update")
          .foreachBatch(lambda df, bid: df.write.mode("append").parquet(f"{base}/out"))
          .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    _finish(q)
     # update mode may emit an hour more than once (once per batch that touched it): keep the last value
     out = s.read.parquet(f"{base}/out")
     last = out.groupBy("hour_start").agg(F.max("posts").alias("posts"))

@@ -24,7 +24,7 @@ from murmur.sinks import lake as L
 from murmur.sources.tables import read_day, read_table_dedup
 from murmur.streaming import ingest as S
 from murmur.vocab import REFERENCE, Vocab
-from murmur.session import cut
+from murmur.session import cut, path_exists
 
 
 @dataclass
@@ -44,7 +44,11 @@ class Publisher:
 def ingest_job(spark: SparkSession, landing: str, checkpoint: str, source: str = "kafka",
                model_path: str | None = None, vocab: Vocab = REFERENCE, trigger: str = "220 seconds",
                available_now: bool = False, **src):
-    """JB1: stream -> parse -> clean -> dedup -> (spam filter) -> day partitions."""
+    """JB1: stream -> parse -> clean -> dedup -> (spam filter) -> day partitions.
+
+    Messages without id or time go to ``<landing>_rejected`` by a query of their own
+    (in ``spark.streams.active``); the query of the posts is returned.
+    """
     model = None
     if model_path:
         from pyspark.ml import PipelineModel
@@ -56,10 +60,18 @@ def ingest_job(spark: SparkSession, landing: str, checkpoint: str, source: str =
     if spark.conf.get(key, default) == default:
         spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     raw = S.read_post_stream(spark, source, **src)
+    S.write_rejected_stream(S.rejected_stream(S.read_post_stream(spark, source, **src), vocab), f"{landing.rstrip('/')}_rejected",
+                            f"{checkpoint.rstrip('/')}_rejected", trigger, available_now=available_now)
     return S.write_posts_stream(S.clean_stream(raw, vocab, model=model), landing, checkpoint, trigger,
                                 available_now=available_now)
 
 
+def compact_job(spark: SparkSession, landing: str, target: str, days: list[str]) -> None:
+    """Fold the given days of the landing table into the ``dt`` table, one copy per (dt, id)."""
+    for day in days:
+        L.compact_day(spark, landing, target, day)
+
+
 def train_spam_job(spark: SparkSession, labelled: DataFrame, model_path: str, vocab: Vocab = REFERENCE) -> DataFrame:
     """Fit once, save, return the hold-out evaluation (the original refits at every start)."""
     train, test = SP.train_test_split(SP.training_set(labelled))
@@ -74,10 +86,8 @@ def score_job(spark: SparkSession, posts: DataFrame, done_path: str, day: str, s
 
     The already-scored side is bounded to the same day partition.
     """
-    try:
-        done = spark.read.parquet(done_path).where(F.col("dt") == day)
-    except Exception:  # noqa: BLE001 - first run, nothing scored yet
-        done = posts.limit(0).select("id")
+    done = (spark.read.parquet(done_path).where(F.col("dt") == day) if path_exists(spark, done_path)
+            else posts.limit(0).select("id"))              # first run, nothing scored yet
     new = cut(SC.score_new_posts(read_day(posts, day), done, scorer, run_ts, stamp_col).select(*out_cols))
     n = new.count()                                # reads the checkpoint, not the inputs
     if n:
@@ -85,23 +95,28 @@ def score_job(spark: SparkSession, posts: DataFrame, done_path: str, day: str, s
     return n
 
 
+#: Columns that the statistics of :func:`indicators_job` need.
+INDICATOR_COLS = ("dt", "id", "batch_id", "created_at", "user_authentication", "time_period", "hour", "location", "label", "score",
+                  "confidence", "reposts_count", "comments_count", "attitudes_count")
+
+
 def indicators_job(posts: DataFrame, scored: DataFrame, pub: Publisher, run_ts: str,
                    vocab: Vocab = REFERENCE, rollup_path: str | None = None, ckpt_path: str | None = None,
                    task: str = "indicators") -> None:
     """JB4: volume statistics of all posts, then sentiment statistics.
 
-    With ``rollup_path`` (and ``ckpt_path``) the counts come from daily rollups:
-    only days from the last processed one on are re-aggregated, everything
-    else is a merge of stored rollups (no rescan of the history).
+    With ``rollup_path`` the additive counts come from daily rollups: only days
+    whose scored rows changed since the last run are re-aggregated (late rows of
+    old days too, found by a count and hash sum per day), the rest is a merge of
+    stored rollups.  Both inputs are deduplicated once and stored.  No posts: nothing is published.
     """
-    p = read_table_dedup(posts)
-    s = read_table_dedup(scored)
+    p, s = (cut(read_table_dedup(x.select(*[c for c in INDICATOR_COLS if c in x.columns]))) for x in (posts, scored))
+    if p.isEmpty():
+        return
     outs = {}
     if rollup_path:
         spark = posts.sparkSession
-        last = L.read_last_dt(spark, ckpt_path, task).first()["last_dt"] if ckpt_path else None
-        new_days = [r[0] for r in s.where(F.col("dt") >= F.lit(last or "0000")).select("dt").distinct().collect()]
-        RU.refresh_rollup(spark, s, rollup_path, days=new_days)
+        changed = RU.refresh_changed(spark, s, rollup_path)
         r = spark.read.parquet(rollup_path)
 
         def count_of(dims, name="count"):
@@ -116,8 +131,8 @@ def indicators_job(posts: DataFrame, scored: DataFrame, pub: Publisher, run_ts:
                 F.round(F.col("sum_comments") / F.col("n_comments"), 2).alias("avg_comment"),
                 F.round(F.col("sum_attitudes") / F.col("n_attitudes"), 2).alias("avg_attitude")), run_ts),
         })
-        if ckpt_path and new_days:
-            L.update_last_dt(spark, ckpt_path, task, max(new_days))
+        if ckpt_path and changed:
+            L.update_last_dt(spark, ckpt_path, task, max(changed))
     outs.update({
         "user_post_count": IND.auth_post_count(p, run_ts),
         "time_period_count": IND.period_post_count(p, run_ts),

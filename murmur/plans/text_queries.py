@@ -200,17 +200,27 @@ def _labelled(s, d):
 
 def _spam_eval(s, d):
     train, test = SP.train_test_split(_labelled(s, d))
-    model = SP.train_spam_model(train, V, max_iter=50)
+    model = SP.train_spam_model(train, V)
     return SP.eval_classifier(SP.predict_spam(test, model, V))
 
 
 def _filter_spam(s, d):
     train, _ = SP.train_test_split(_labelled(s, d))
-    model = SP.train_spam_model(train, V, max_iter=50)
+    model = SP.train_spam_model(train, V)
     clean = CLN.clean_posts(CLN.parse_posts(_raw(s, d)), V)
     return SP.filter_spam(clean, model, V).select("id", "user_id")
 
 
+def _misjudged(s, d):
+    pred = table(s, d, "documents").select("doc_id", "text").join(table(s, d, "labels"), "doc_id").select(
+        F.col("doc_id").cast("string").alias("text"), F.col("quality").cast("double").alias("label"), (F.length("text") > 1000).cast("double").alias("prediction"))
+    missed, let_through = SP.misjudged(pred)
+    return missed.unionByName(let_through)
+
+
+# SO5: a rule (more than 1000 characters) as the prediction; the texts shown are the ids
+register("misjudged", """SELECT CAST(doc_id AS VARCHAR) AS text, CAST(quality AS DOUBLE) AS label, CAST(length(text) > 1000 AS DOUBLE) AS prediction
+FROM documents JOIN labels USING (doc_id) WHERE (quality = 1) <> (length(text) > 1000)""")(_misjudged)
 register("spam_model_eval")(_spam_eval)
 register("filter_spam")(_filter_spam)
 

@@ -83,6 +83,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in its (Hadoop) file system; other errors raise."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+
+
 def cut(df):
     """Materialise ``df`` in the shared checkpoint folder and cut its lineage
     (reliable checkpoint: survives executor loss; never a local checkpoint)."""

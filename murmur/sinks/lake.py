@@ -26,9 +26,8 @@ def write_posts_batch(df: DataFrame, path: str, batch_id: int, partition_cols=("
 
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
-    """Landing table with replay duplicates removed (newest copy per (dt, id))."""
-    df = spark.read.parquet(path)
-    return latest_per_key(df.drop("batch_id"), ["dt", "id"], "created_at")
+    """Landing table with one copy per (dt, id): the one that arrived last."""
+    return latest_per_key(spark.read.parquet(path), ["dt", "id"], "batch_id").drop("batch_id")
 
 
 def compact_day(spark: SparkSession, landing: str, target: str, day: str) -> None:
@@ -60,13 +59,14 @@ def repair_partitions(spark: SparkSession, table: str) -> None:
     spark.catalog.recoverPartitions(table)
 
 
-def upsert_merge(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+def upsert_merge(old: DataFrame, new: DataFrame, keys: list[str], order_col: str | None = None) -> DataFrame:
     """Rows of ``new`` replace rows of ``old`` with equal keys; others stay.
 
     ``old LEFT ANTI new UNION ALL new`` -- one shuffle on the keys; ``new`` is
-    first reduced to one row per key.
+    first reduced to one row per key, the largest ``order_col`` (ties: see
+    :func:`latest_per_key`).
     """
-    n = new.dropDuplicates(keys) if keys else new
+    n = latest_per_key(new, keys, order_col) if keys else new
     return old.join(n.select(*keys), keys, "left_anti").unionByName(n)
 
 
@@ -124,10 +124,7 @@ def export_text_sample(df: DataFrame, path: str, n: int = 10000) -> None:
 def read_last_dt(spark: SparkSession, path: str, task: str, default: str = "1970-01-01") -> DataFrame:
     """One-row frame ``last_dt`` for ``task`` (the default when absent)."""
     from murmur.schemas import JOB_CHECKPOINT
-    try:
-        ck = spark.read.schema(JOB_CHECKPOINT).parquet(path)
-    except Exception:  # noqa: BLE001 - no checkpoint yet
-        ck = spark.createDataFrame([], JOB_CHECKPOINT)
+    ck = read_versioned(spark, path, JOB_CHECKPOINT)
     return (ck.where(F.col("task_name") == task)
             .agg(F.coalesce(F.max("last_dt"), F.lit(default)).alias("last_dt")))
 
@@ -141,9 +138,29 @@ def update_last_dt(spark: SparkSession, path: str, task: str, new_dt: str) -> No
     """Upsert ``(task, new_dt)`` after the task's output is written."""
     from murmur.schemas import JOB_CHECKPOINT
     new = spark.createDataFrame([(task, new_dt)], JOB_CHECKPOINT)
-    try:
-        old = spark.read.schema(JOB_CHECKPOINT).parquet(path)
-        merged = cut(upsert_merge(old, new, ["task_name"]))
-    except Exception:  # noqa: BLE001 - first write
-        merged = new
-    merged.coalesce(1).write.mode("overwrite").parquet(path)
+    write_versioned(spark, upsert_merge(read_versioned(spark, path, JOB_CHECKPOINT), new, ["task_name"]), path)
+
+
+# --- small state tables ------------------------------------------------------------
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Complete versions of a state table, in order."""
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/v*/_SUCCESS")
+    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    return sorted(int(f.getPath().getParent().getName()[1:]) for f in found)
+
+
+def read_versioned(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The newest complete version of a state table; empty if there is none.  Read errors raise."""
+    versions = _versions(spark, path)
+    if not versions:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path.rstrip('/')}/v{versions[-1]:08d}")
+
+
+def write_versioned(spark: SparkSession, df: DataFrame, path: str) -> None:
+    """Write ``df`` as the next version; readers switch when it is complete, so a
+    failed write leaves the version before."""
+    versions = _versions(spark, path)
+    df.coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/v{(versions[-1] if versions else 0) + 1:08d}")

@@ -24,20 +24,28 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     already have many splits and are returned unchanged (no shuffle).
     """
     n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    return df.repartition(n) if _scan_splits(df) < n else df
 
 
-def read_table_dedup(df: DataFrame, keys=("dt", "id"), order_col: str = "created_at") -> DataFrame:
-    """A post table read as-is, one row per (dt, id): the newest copy wins.
+def _scan_splits(df: DataFrame) -> int:
+    """Lower bound of the splits of the files under ``df`` (from their sizes; runs nothing)."""
+    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    path_of = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path
+    most = df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    sizes = [path_of(f).getFileSystem(conf).getFileStatus(path_of(f)).getLen() for f in df.inputFiles()]
+    return sum(-(-size // most) for size in sizes)
 
-    Replayed micro-batches leave duplicate copies; they are collapsed by an
-    aggregate (partial aggregation map-side, so a hot key is pre-reduced
-    before the shuffle) rather than an arbitrary ``dropDuplicates``.
+
+def read_table_dedup(df: DataFrame, keys=("dt", "id"), order_col: str | None = None) -> DataFrame:
+    """A post table read as-is, one row per (dt, id): the copy that arrived last wins.
+
+    Arrival is ``batch_id`` where the table has it (all copies of a post share
+    ``created_at``, its time of birth), else ``created_at``.
     """
-    return latest_per_key(df, list(keys), order_col)
+    return latest_per_key(df, list(keys), order_col or ("batch_id" if "batch_id" in df.columns else "created_at"))
 
 
-def read_day(df: DataFrame, day: str, keys=("dt", "id"), order_col: str = "created_at") -> DataFrame:
+def read_day(df: DataFrame, day: str, keys=("dt", "id"), order_col: str | None = None) -> DataFrame:
     """One ``dt`` partition (pruned at the scan when ``dt`` is a partition column), deduplicated."""
     return read_table_dedup(df.where(F.col("dt") == F.lit(day)), keys, order_col)
 

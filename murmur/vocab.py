@@ -77,8 +77,6 @@ class Vocab:
 # Spam terms, alternation order as given (抽奖 before 抽):
 #   加V 抽奖 秒杀 代理 私信 领取 福利 红包 点击 下单 推广 包邮 免费 送 宝子 亲亲 抽 双11
 # Promotion terms (divisor 8): 关注 转发 评论 点赞 进店 抢购 优惠 又好又便宜
-# Blocklist (campaign and shop terms; the original also lists two personal
-#   names, which callers add themselves): 常识打卡 天猫 京东 淘宝 拼多多 常识翻身打卡计划 翻身打卡
 REFERENCE = Vocab(
     positive="正面", negative="负面", neutral="中性",
     periods=("凌晨", "早晨", "上午", "下午", "晚间", "午夜"),
@@ -94,7 +92,7 @@ REFERENCE = Vocab(
     spam_terms=("加V", "抽奖", "秒杀", "代理", "私信", "领取", "福利", "红包", "点击",
                 "下单", "推广", "包邮", "免费", "送", "宝子", "亲亲", "抽", "双11"),
     promo_terms=("关注", "转发", "评论", "点赞", "进店", "抢购", "优惠", "又好又便宜"),
-    blocklist=("常识打卡", "天猫", "京东", "淘宝", "拼多多", "常识翻身打卡计划", "翻身打卡"),
+    blocklist=("常识打卡", "天猫", "京东", "淘宝", "拼多多", "肖战", "杨紫", "常识翻身打卡计划", "翻身打卡"),
 )
 # --- end FIXED VALUES ---
 

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
+from murmur.plans import catalog
 from oracle_harness import compare, duck
 
 from conftest import SF0001
@@ -15,16 +16,16 @@ def con():
     return duck(SF0001)
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     sdf = E.queries()[name](spark, SF0001).toPandas()
     odf = con.execute(E.oracle_sql()[name]).df()
     assert compare(sdf, odf) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(catalog.queries()) - set(catalog.oracle_sql()) - SLOW))
 def test_rows_only_queries_run(spark, name):
-    assert E.queries()[name](spark, SF0001).count() >= 0
+    assert E.queries()[name](spark, SF0001).count() > 0
 
 
 def test_entry_smoke(spark):
