@@ -163,6 +163,21 @@ def _signed(docs: DataFrame, k: int, threshold: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "sig long, node long")
 
 
+def _buckets(signed: DataFrame) -> DataFrame:
+    """sig, node, first of the signatures that several nodes share.
+
+    ``first`` is the bucket's most popular node: the one whose buckets hold the most nodes
+    in all, as an original does whose copies are each changed at other places.
+    """
+    w = Window.partitionBy("sig")
+    shared = stored(signed.withColumn("low", F.min("node").over(w)).withColumn("high", F.max("node").over(w)).withColumn("size", F.count("*").over(w))
+                    .where("low <> high").select("sig", "node", "size"), "shared-signatures")
+    popular = shared.groupBy("node").agg(F.sum("size").alias("weight"))
+    first = F.max(F.struct("weight", "node")).over(w)
+    return stored(shared.select("sig", "node").distinct().join(popular, "node").withColumn("first", first)
+                  .select("sig", "node", F.col("first.node").alias("first")), "buckets")
+
+
 def _sets(docs: DataFrame, k: int) -> DataFrame:
     """node, n, sketch, members (bytes) of every row of ``docs``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,7 +268,8 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
 def _block_pairs(buckets: DataFrame, sets: DataFrame, comp: DataFrame, threshold: int) -> DataFrame:
     """Candidates (a, b) of different components that share a bucket and that the sketches do not rule out."""
     w = Window.partitionBy("sig")
-    rows = (buckets.select("sig", "node").distinct().join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    # Pairs with the first node are verified, so it is left out, and with it every bucket of two.
+    rows = (buckets.where("node <> first").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
             .withColumn("low", F.min("comp").over(w)).withColumn("high", F.max("comp").over(w))
             .withColumn("blocks", F.ceil(F.count("*").over(w) / BUCKET_BLOCK)).where("low <> high"))
     rows = (rows.withColumn("own", F.pmod(F.xxhash64("node"), "blocks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
@@ -312,9 +328,7 @@ def linked_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", thresh
     linked, directly or through others.  Rows without words have n = 0 and are linked with nothing."""
     d = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).withColumn("text_hash", F.xxhash64("text"))
     rows = stored(_summaries(d, k), "shingle-rows")
-    w = Window.partitionBy("sig")
-    buckets = stored(_signed(d, k, threshold).withColumn("first", F.min("node").over(w)).withColumn("last", F.max("node").over(w))
-                     .where("first <> last").select("sig", "node", "first"), "shared-signatures")
+    buckets = _buckets(_signed(d, k, threshold))
     wanted = (rows.groupBy("fp").agg(F.min("text_hash").alias("text_hash"))
               .join(buckets.select(F.col("node").alias("fp")).distinct(), "fp", "left_semi").select("text_hash"))
     sets = stored(_sets(sized_join(d, stored(wanted, "wanted"), "text_hash", "left_semi"), k), "shingle-sets")
