@@ -47,11 +47,6 @@ def removed_length(c: Column, terms: Iterable[str], divisor: int) -> Column:
     return (F.length(c) - F.length(F.regexp_replace(c, alternation(terms), ""))) / F.lit(divisor)
 
 
-def term_hits(c: Column, term: str) -> Column:
-    """Non-overlapping occurrences of one literal term."""
-    return F.regexp_count(c, F.lit(escape_term(term)))
-
-
 def word_tokens(c: Column, min_len: int = 2) -> Column:
     """Letter/digit runs outside Han script, length >= ``min_len``."""
     latin = F.regexp_extract_all(F.regexp_replace(c, HAN, " "), F.lit(WORD), 0)

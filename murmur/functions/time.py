@@ -20,11 +20,6 @@ def parse_created_at(c: Column) -> Column:
                       F.try_to_timestamp(c, F.lit(SECOND_FMT)))
 
 
-def as_timestamp(c: Column) -> Column:
-    """Strings are parsed; timestamps (with or without zone) are cast."""
-    return c.cast("timestamp")
-
-
 def period_of_hour(hour: Column, vocab: Vocab) -> Column:
     """Six-bucket day period; a NULL hour falls to the last bucket."""
     b, p = vocab.period_bounds, vocab.periods

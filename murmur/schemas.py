@@ -31,25 +31,10 @@ POSTS = _struct(
     ("hour", I), ("time_period", S), ("dt", S),
 )
 
-POST_SENTIMENT = _struct(
-    *[(f.name, f.dataType) for f in POSTS.fields if f.name != "dt"],
-    ("label", S), ("label_id", I), ("score", D), ("confidence", D), ("dt", S),
-)
-
-POST_TOPIC = _struct(
-    ("id", S), ("bid", S), ("user_id", S), ("screen_name", S), ("text", S),
-    ("topic_label", S), ("topic_id", I), ("confidence", D), ("created_at", TS),
-    ("location", S), ("user_authentication", S), ("hour", I), ("time_period", S),
-    ("tags_generated_at", TS), ("dt", S),
-)
-
 TRAINING_CSV = _struct(("text", S), ("reposts_count", S), ("comments_count", S),
                        ("attitudes_count", S), ("label", S))
 
 JOB_CHECKPOINT = _struct(("task_name", S), ("last_dt", S))
 
-# Scorer output contracts (external models in the original application).
-SENTIMENT_SCORES = _struct(("label", S), ("label_id", I), ("score", D), ("confidence", D))
-TOPIC_SCORES = _struct(("topic_label", S), ("topic_id", I), ("confidence", D))
 CLUSTER_FEATURES = ("hourly_sentiment_stddev", "night_post_ratio",
                     "region_diversity_score", "top_region_avg_score", "sentiment_leverage")

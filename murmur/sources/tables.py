@@ -60,8 +60,3 @@ def read_text_sample(df: DataFrame, n: int = 10000, order_col: str = "id") -> Da
             .orderBy(F.col(order_col).asc())
             .limit(n)
             .select("bid", "text"))
-
-
-def read_parquet_subset(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Parquet read restricted to an explicit column subset."""
-    return spark.read.schema(schema).parquet(path)

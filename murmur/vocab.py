@@ -11,7 +11,7 @@ Everything here is a default that callers may override by passing another
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 
 @dataclass(frozen=True)
@@ -53,13 +53,11 @@ class Vocab:
     engagement_tiers: tuple[str, str, str, str] = ("viral", "high", "medium", "low")
     length_classes: tuple[str, str, str] = ("short", "medium", "long")
     post_tag_names: tuple[str, str, str] = ("topic", "mention", "plain")
-    quality_classes: tuple[str, str] = ("valid", "spam")
     recall_reasons: tuple[str, str] = ("region", "time_period")
     # stand-in rule scorers (the original calls external models)
     positive_terms: tuple[str, ...] = ()
     negative_terms: tuple[str, ...] = ()
     topic_terms: tuple[tuple[str, tuple[str, ...]], ...] = ()
-    extra: dict = field(default_factory=dict)
 
     def with_(self, **kw) -> "Vocab":
         return replace(self, **kw)
