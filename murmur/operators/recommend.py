@@ -8,15 +8,15 @@ Scale design
 ------------
 Both recall channels are equi-joins on a low-cardinality key (a region, one
 of six periods): joined naively they emit users x posts / 6 rows.  They never
-do here.  For a fixed topic the personal score is ``a*x + b*y`` with
-``x = final_score``, ``y = final_score * (1 - score)`` and per-user weights
-``a >= 1, b >= 0``.  A post that is beaten in both coordinates by posts of
-N + 1 distinct authors of the same (channel key, topic) group can never be in
-anyone's top N (at most one of those authors is the user).  That k-skyband is
-computed per group before the join -- first on salted sub-groups in
-parallel, then once more over the survivors -- and only survivors are joined
-to users.  The survivors are broadcast when a counted size allows, otherwise
-joined on a salted key; either way a hot key never lands in one task.
+do here.  For a fixed topic the personal score is ``a * (f + r * f * (1 - score))``
+with ``f = final_score`` and a user's weights ``a >= 1`` and ``0 <= r <= bonus_weight``, so the
+order of posts depends on the ratio ``r`` alone.  Its range is cut into buckets: a
+post whose best value in a bucket is below the worst values of posts of N + 1
+distinct authors is in no top N of that bucket's users (at most one of those
+authors is the user).  Buckets are refined in rounds, each into four, where a
+child only tests its parent's survivors and only buckets with users go on;
+users then join the survivors of their (key, topic, bucket).  The number of
+rounds is a matter of cost and cannot change the result.
 ``prune=False`` gives the plain joins of the original (tests compare both).
 """
 
@@ -70,88 +70,39 @@ def candidate_scored(pool: DataFrame, sentiment: DataFrame, floor: float = 0.5,
             .select("id", *keep, "final_score", F.coalesce(F.col("score"), F.lit(0.0)).alias("score")))
 
 
-# --- k-skyband prune ---------------------------------------------------------------
-
-def _skyband_frame(keep_n: int, margin: float):
-    import numpy as np
-
-    def prune(pdf):
-        if len(pdf) <= keep_n:
-            return pdf
-        x = pdf["_x"].to_numpy(dtype="float64")
-        y = pdf["_y"].to_numpy(dtype="float64")
-        authors = pdf["author_id"].to_numpy(dtype=object)
-        order = np.lexsort((-y, -x))
-        k = keep_n + 1
-        best: dict = {}
-        kth = -np.inf              # k-th largest per-author best y so far
-        keep = np.ones(len(pdf), dtype=bool)
-        j = 0
-        for i in order:
-            thr = x[i] * (1.0 + margin) if x[i] >= 0 else x[i] * (1.0 - margin)
-            while j < len(order) and x[order[j]] > thr:
-                q = order[j]
-                a = authors[q]
-                j += 1
-                if a is None:
-                    continue
-                yq = y[q]
-                if a in best:
-                    if yq > best[a]:
-                        best[a] = yq
-                elif len(best) < k:
-                    best[a] = yq
-                elif yq > kth:
-                    del best[min(best, key=best.get)]
-                    best[a] = yq
-                else:
-                    continue
-                if len(best) == k:
-                    kth = min(best.values())
-            if len(best) == k and kth >= y[i]:
-                keep[i] = False
-        return pdf[keep]
-    return prune
-
-
-def skyband_prune(cands: DataFrame, group_cols: list[str], top_n: int = 15,
-                  salt_buckets: int = 32, margin: float = 1e-9) -> DataFrame:
-    """Drop posts dominated by > ``top_n`` distinct authors within their group.
-
-    Dominance: x larger by a relative ``margin`` (so floating-point rounding
-    of the personal score can never reorder it) and y not smaller.  Any
-    subset prune is sound, so the group is first pruned in ``salt_buckets``
-    parallel pieces, then the survivors of each group once more.
-    """
-    cols = cands.columns
-    base = (cands.withColumn("_x", F.col("final_score"))
-                 .withColumn("_y", F.col("final_score") * (F.lit(1.0) - F.col("score"))))
-    schema = base.schema
-    fn = _skyband_frame(top_n, margin)
-    salted = base.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(salt_buckets)))
-    stage1 = salted.groupBy(*group_cols, "_salt").applyInPandas(
-        lambda pdf: fn(pdf.drop(columns=["_salt"])), schema)
-    stage2 = stage1.groupBy(*group_cols).applyInPandas(fn, schema)
-    return stage2.select(*cols)
-
-
-def join_bounded(big: DataFrame, small: DataFrame, keys: list[tuple[str, str]], small_rows: int,
-                 max_broadcast_rows: int = 500_000, salt_buckets: int = 64) -> DataFrame:
-    """Equi-join on ``keys`` ((big column, small column) pairs) given a proven
-    upper bound ``small_rows`` on the size of ``small``.
-
-    Within ``max_broadcast_rows`` the small side is broadcast (the big side is
-    never shuffled, so a hot key costs nothing); beyond it both sides get a
-    salt (``big`` by hash, ``small`` replicated per salt) so that no key
-    concentrates in one task.
+# --- ratio buckets -------------------------------------------------------------------
+
+ROUNDS = 5                      # 4 ** ROUNDS buckets at the end
+MARGIN = 1e-9                   # relative; rounding of the personal score never reorders a dropped pair
+
+
+def ratio_survivors(cands: DataFrame, buckets: DataFrame, top_n: int, widest: float, rounds: int = ROUNDS) -> DataFrame:
+    """Rows of ``cands(_ckey, _topic, author_id, final_score, score, ...)`` that may be in a top N, with
+    the ``_bucket`` (of ``4 ** rounds`` over ratios 0 to ``widest``) they may be in it for.
+
+    ``buckets(_ckey, _topic, _bucket)``: the buckets that have users.
     """
-    if small_rows <= max_broadcast_rows:
-        s = F.broadcast(small)
-        return big.join(s, [big[b] == s[k] for b, k in keys], "inner")
-    b = big.withColumn("_salt_b", F.pmod(F.xxhash64(*big.columns), F.lit(salt_buckets)))
-    s = small.withColumn("_salt_s", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-    cond = [b[x] == s[k] for x, k in keys] + [b["_salt_b"] == s["_salt_s"]]
-    return b.join(s, cond, "inner").drop("_salt_b", "_salt_s")
+    group = ["_ckey", "_topic", "_bucket"]
+    rest = cands.withColumn("_bucket", F.lit(0).cast("long"))
+    for level in range(rounds + 1):
+        width = widest / 4 ** level
+        y = F.col("final_score") * (F.lit(1.0) - F.col("score"))
+        ends = [F.col("final_score") + (F.col("_bucket") + k) * F.lit(width) * y for k in (0, 1)]
+        rest = rest.withColumn("_low", F.least(*ends)).withColumn("_high", F.greatest(*ends))
+        nth = F.row_number().over(Window.partitionBy(*group).orderBy(F.desc("_best")))
+        bar = (rest.groupBy(*group, "author_id").agg(F.max("_low").alias("_best"))
+               .withColumn("_nth", nth).where(F.col("_nth") <= top_n + 1)
+               .groupBy(*group).agg(F.min("_best").alias("_bar"), F.count("*").alias("_authors")).where(F.col("_authors") > top_n)
+               .select(*group, "_bar"))
+        rest = rest.join(bar, group, "left").where(F.col("_bar").isNull() | (F.col("_high") >= F.col("_bar") * (1 - MARGIN)))
+        rest = rest.drop("_low", "_high", "_bar")
+        if level < rounds:
+            there = buckets.withColumn("_bucket", F.shiftright("_bucket", 2 * (rounds - level - 1))).distinct()
+            rest = (rest.withColumn("_quarter", F.explode(F.array(*[F.lit(q) for q in range(4)])))
+                    .withColumn("_bucket", F.col("_bucket") * 4 + F.col("_quarter")).drop("_quarter")
+                    .join(there, group, "left_semi"))
+        rest = cut(rest)
+    return rest
 
 
 # --- recall -------------------------------------------------------------------------
@@ -160,7 +111,7 @@ PROB_COLS = ("life_prob", "night_cat_prob", "big_v_weight", "vent_prob")
 RECALL_COLS = ("target_user_id", "id", "author_id", "topic_label", "final_score", "score", "recall_reason")
 
 
-def user_classes(profile: DataFrame, user_col: str, clusters: DataFrame | None) -> DataFrame:
+def user_weights(profile: DataFrame, user_col: str, clusters: DataFrame | None) -> DataFrame:
     """(target_user_id, _key, four cluster probabilities; missing -> 0.0)."""
     u = (profile.select(F.col("user_id").cast("string").alias("target_user_id"), F.col(user_col).alias("_key"))
          .where(F.col("_key").isNotNull()))
@@ -179,75 +130,50 @@ def _plain_recall(users: DataFrame, cands: DataFrame, cand_col: str, reason: str
     return j.select(*RECALL_COLS[:-1], F.lit(reason).alias("recall_reason"))
 
 
-def _class_recall(users: DataFrame, cands: DataFrame, cand_col: str, reason: str, top_n: int,
-                  vocab: Vocab, bonus_weight: float, skyband_min_classes: int) -> DataFrame:
-    """Exact per-user channel top N without a users x posts join.
-
-    Users with equal probabilities share one ranking per key; each (key,
-    class) ranks its posts once and keeps the first ``2 * top_n``
-    (``row_number() <= literal``: a partial WindowGroupLimit before the
-    shuffle).  Users join their class list (at most ``2 * top_n`` rows each).
-    A user owning more than ``top_n`` of those rows -- at most one per list --
-    falls back to the full posts of the key.  The one counted quantity is the
-    number of classes K; every broadcast below is bounded by it (classes: K
-    rows, lists: K * 2N rows, fallback users: at most one per list).
-    """
-    depth = 2 * top_n
-    users = cut(users)          # profiles + clusters computed once
-    # a post without author is never recommended (own-post exclusion drops it),
-    # so it is left out here; then only the list's own author can fall back
-    c = (cands.select("id", "author_id", "topic_label", F.col(cand_col).alias("_ckey"), "final_score", "score")
-         .where(F.col("_ckey").isNotNull() & F.col("author_id").isNotNull()))
-    classes = users.select(F.col("_key").alias("_k2"), *[F.col(p).alias("_c_" + p) for p in PROB_COLS]).distinct()
-    k = classes.count()
-    if k > skyband_min_classes:
-        # many distinct probability vectors: shrink each (key, topic) group first
-        c = cut(skyband_prune(c, ["_ckey", "topic_label"], top_n))
-    cc = join_bounded(c, classes, [("_ckey", "_k2")], k)
-    cc = cc.withColumns({p: F.col("_c_" + p) for p in PROB_COLS})
-    score = F.col("final_score") * (F.lit(1.0) + personal_bonus(vocab) * F.lit(bonus_weight))
-    w = Window.partitionBy("_ckey", *PROB_COLS).orderBy(F.desc("_s"), F.asc("id"))
-    lists = (cc.withColumn("_s", score).withColumn("_rank", F.row_number().over(w))
-             .where(F.col("_rank") <= depth)
-             .select("_ckey", *[F.col(p).alias("_l_" + p) for p in PROB_COLS], "_rank", "id", "author_id",
-                     "topic_label", "final_score", "score"))
-    ul = join_bounded(users, lists, [("_key", "_ckey")] + [(p, "_l_" + p) for p in PROB_COLS], k * depth)
-    ok = F.col("author_id").isNotNull() & (F.col("author_id") != F.col("target_user_id"))
-    per_user = Window.partitionBy("target_user_id")
-    ul = (ul.withColumn("_ok", F.sum(ok.cast("int")).over(per_user))
-            .withColumn("_len", F.count(F.lit(1)).over(per_user)))
-    fallback = (F.col("_ok") < top_n) & (F.col("_len") >= depth)
-    exact = ul.where(~fallback & ok).select(*RECALL_COLS[:-1])
-    fb_users = ul.where(fallback).select("target_user_id", "_key").distinct()
-    fb = join_bounded(c, fb_users, [("_ckey", "_key")], k).where(ok).select(*RECALL_COLS[:-1])
-    return exact.unionByName(fb).withColumn("recall_reason", F.lit(reason))
+def _bucket_recall(users: DataFrame, cands: DataFrame, cand_col: str, reason: str, top_n: int,
+                   vocab: Vocab, bonus_weight: float, rounds: int) -> DataFrame:
+    """The rows of the plain join that can reach a user's top N (see the module's notes)."""
+    # a post without author is never recommended (own-post exclusion drops it)
+    c = cut(cands.select("id", "author_id", "topic_label", F.coalesce("topic_label", F.lit("")).alias("_topic"),
+                         F.col(cand_col).alias("_ckey"), "final_score", "score")
+            .where(F.col("_ckey").isNotNull() & F.col("author_id").isNotNull()))
+    topics = c.select("_ckey", "_topic", "topic_label").distinct()
+    ratio = (F.lit(bonus_weight) * F.col("vent_prob")) / (F.lit(1.0) + F.lit(bonus_weight) * topic_bonus(vocab))
+    last = 4 ** rounds - 1
+    place = F.floor(ratio / F.lit(bonus_weight) * (last + 1)).cast("long")
+    u = cut(users.join(topics, users["_key"] == topics["_ckey"])
+            .select("target_user_id", "_ckey", "_topic", F.least(F.lit(last).cast("long"), F.greatest(F.lit(0).cast("long"), place)).alias("_bucket"))
+            .distinct())
+    group = ["_ckey", "_topic", "_bucket"]
+    kept = ratio_survivors(c, u.select(*group).distinct(), top_n, bonus_weight, rounds)
+    return u.join(kept, group).select(*RECALL_COLS[:-1], F.lit(reason).alias("recall_reason"))
 
 
 def _recall(profile: DataFrame, user_col: str, cands: DataFrame, cand_col: str, reason: str,
             prune: bool, top_n: int, clusters: DataFrame | None, vocab: Vocab, bonus_weight: float,
-            skyband_min_classes: int) -> DataFrame:
-    users = user_classes(profile, user_col, clusters)
+            rounds: int) -> DataFrame:
+    users = user_weights(profile, user_col, clusters)
     if not prune:
         return _plain_recall(users, cands, cand_col, reason)
-    return _class_recall(users, cands, cand_col, reason, top_n, vocab, bonus_weight, skyband_min_classes)
+    return _bucket_recall(users, cands, cand_col, reason, top_n, vocab, bonus_weight, rounds)
 
 
 def recall_region(region_profile: DataFrame, cands: DataFrame, prune: bool = False, top_n: int = 15,
                   vocab: Vocab = REFERENCE, clusters: DataFrame | None = None, bonus_weight: float = 1.5,
-                  skyband_min_classes: int = 64) -> DataFrame:
+                  rounds: int = ROUNDS) -> DataFrame:
     """Users x posts whose (unsplit) location equals the user's top region;
     with ``prune`` only rows that can reach the user's top N (exact when
     ``clusters`` is the same frame later given to :func:`personalized_rank`)."""
     return _recall(region_profile, "top_focus_region", cands, "location", vocab.recall_reasons[0], prune,
-                   top_n, clusters, vocab, bonus_weight, skyband_min_classes)
+                   top_n, clusters, vocab, bonus_weight, rounds)
 
 
 def recall_time(time_profile: DataFrame, cands: DataFrame, prune: bool = False, top_n: int = 15,
                 vocab: Vocab = REFERENCE, clusters: DataFrame | None = None, bonus_weight: float = 1.5,
-                skyband_min_classes: int = 64) -> DataFrame:
+                rounds: int = ROUNDS) -> DataFrame:
     """Users x posts of the user's preferred day period; ``prune`` as above."""
     return _recall(time_profile, "prefer_time_period", cands, "time_period", vocab.recall_reasons[1], prune,
-                   top_n, clusters, vocab, bonus_weight, skyband_min_classes)
+                   top_n, clusters, vocab, bonus_weight, rounds)
 
 
 def recall_union(region_rec: DataFrame, time_rec: DataFrame, vocab: Vocab = REFERENCE) -> DataFrame:
@@ -261,7 +187,8 @@ def recall_union(region_rec: DataFrame, time_rec: DataFrame, vocab: Vocab = REFE
         "target_user_id", "id", *[F.col("_r." + c).alias(c) for c in other])
 
 
-def personal_bonus(vocab: Vocab) -> Column:
+def topic_bonus(vocab: Vocab) -> Column:
+    """The part of the bonus that a post's topic gives."""
     t = F.col("topic_label")
 
     def ind(topics):
@@ -269,8 +196,11 @@ def personal_bonus(vocab: Vocab) -> Column:
     return (F.col("life_prob") * ind(vocab.everyday_topics)
             + F.col("night_cat_prob") * ind(vocab.night_topics)
             + F.col("big_v_weight") * ind(vocab.big_account_topics)
-            + F.col("vent_prob") * ind(vocab.venting_topics)
-            + F.col("vent_prob") * (F.lit(1.0) - F.col("score")))
+            + F.col("vent_prob") * ind(vocab.venting_topics))
+
+
+def personal_bonus(vocab: Vocab) -> Column:
+    return topic_bonus(vocab) + F.col("vent_prob") * (F.lit(1.0) - F.col("score"))
 
 
 def personalized_rank(recalls: DataFrame, clusters: DataFrame, vocab: Vocab = REFERENCE,
@@ -314,7 +244,7 @@ def recommend(topics: DataFrame, sentiment: DataFrame, time_profile: DataFrame,
     pool = candidate_pool(topics, as_of, days)
     cands = candidate_scored(pool.drop("text") if "text" in pool.columns else pool, sentiment)
     if prune:
-        cands = cut(cands)      # read by both channels and their fallbacks
+        cands = cut(cands)      # read by both channels
         clusters = cut(clusters)  # read by both channels and the final scoring
     rec = recall_union(recall_region(region_profile, cands, prune, n, vocab, clusters),
                        recall_time(time_profile, cands, prune, n, vocab, clusters), vocab)

@@ -33,9 +33,20 @@ def _scored_cands(s, d):
     return RC.candidate_scored(RC.candidate_pool(topics, AS_OF), scored)
 
 
-def _recommend(s, d, model=False):
+def _personal(scored):
+    """Probabilities that differ from user to user, by a formula that both engines compute."""
+    uid = F.col("user_id").cast("long")
+    part = lambda a, m, by: ((uid * a) % m).cast("double") / F.lit(by)
+    return scored.where("user_id IS NOT NULL").select("user_id").distinct().select(
+        "user_id", part(7, 101, 300.0).alias("prob_0"), part(11, 103, 300.0).alias("prob_1"),
+        part(13, 107, 300.0).alias("prob_2"), part(17, 97, 97.0).alias("prob_3"))
+
+
+def _recommend(s, d, model=False, personal=False):
     topics, scored = _frames(s, d)
-    if model:
+    if personal:
+        clusters = _personal(scored)
+    elif model:
         seg = CL.segment_users(CL.user_features(scored, V), V)
         clusters = CL.cluster_profile(seg, CL.assign_clusters(CL.fit_clusters(seg), seg))
     else:
@@ -117,4 +128,9 @@ register("candidate_scored", with_posts(
     lambda s, d: _scored_cands(s, d).withColumn("final_score", F.round("final_score", 9)))
 
 register("recommend_topn", RECOMMEND_SQL, headline=True)(lambda s, d: _recommend(s, d))
+_PERSONAL_SQL = """(SELECT DISTINCT user_id, CAST(CAST(user_id AS BIGINT) * 7 % 101 AS DOUBLE) / 300.0 AS prob_0,
+       CAST(CAST(user_id AS BIGINT) * 11 % 103 AS DOUBLE) / 300.0 AS prob_1, CAST(CAST(user_id AS BIGINT) * 13 % 107 AS DOUBLE) / 300.0 AS prob_2,
+       CAST(CAST(user_id AS BIGINT) * 17 % 97 AS DOUBLE) / 97.0 AS prob_3 FROM scored WHERE user_id IS NOT NULL)"""
+register("recommend_topn_personal", RECOMMEND_SQL.replace("LEFT JOIN cprof c ON", f"LEFT JOIN {_PERSONAL_SQL} c ON"))(
+    lambda s, d: _recommend(s, d, personal=True))
 register("recommend_topn_gmm")(lambda s, d: _recommend(s, d, model=True))

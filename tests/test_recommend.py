@@ -1,4 +1,4 @@
-"""Recommendation: the skyband-pruned recall gives exactly the plain-join top N."""
+"""Recommendation: recall by ratio buckets gives exactly the plain-join top N."""
 
 import random
 
@@ -44,19 +44,19 @@ def _synthetic(spark, n_posts=600, n_users=40, seed=7):
     return c, u, cl
 
 
-def _topn(cands, users, clusters, prune, n, skyband_min_classes=64):
+def _topn(cands, users, clusters, prune, n, rounds=3):
     rec = RC.recall_union(
-        RC.recall_region(users, cands, prune, n, V, clusters, skyband_min_classes=skyband_min_classes),
-        RC.recall_time(users, cands, prune, n, V, clusters, skyband_min_classes=skyband_min_classes), V)
+        RC.recall_region(users, cands, prune, n, V, clusters, rounds=rounds),
+        RC.recall_time(users, cands, prune, n, V, clusters, rounds=rounds), V)
     ranked = RC.personalized_rank(rec, clusters, V)
     return RC.recommend_topn(ranked, cands.withColumn("bid", F.col("id")), n)
 
 
-@pytest.mark.parametrize("n,sky", [(1, 64), (3, 0), (15, 64), (15, 0)])
-def test_pruned_equals_plain_synthetic(spark, n, sky):
+@pytest.mark.parametrize("n,rounds", [(1, 3), (3, 0), (15, 2)])
+def test_pruned_equals_plain_synthetic(spark, n, rounds):
     c, u, cl = _synthetic(spark)
     plain = _rows(_topn(c, u, cl, False, n))
-    pruned = _rows(_topn(c, u, cl, True, n, sky))
+    pruned = _rows(_topn(c, u, cl, True, n, rounds))
     assert plain == pruned
     assert len(plain) > 0
 
@@ -75,10 +75,28 @@ def test_shared_classes_and_prolific_author_fallback(spark):
         assert _rows(_topn(c, u, cl, False, n)) == _rows(_topn(c, u, cl, True, n))
 
 
-def test_prune_actually_prunes(spark):
-    c, _, _ = _synthetic(spark, n_posts=2000)
-    kept = RC.skyband_prune(c, ["time_period", "topic_label"], top_n=3).count()
-    assert kept < 2000 * 0.5
+def test_buckets_bound_the_rows_a_user_joins(spark):
+    """Posts on one smooth curve (each best for some ratio) and users who all differ: the hard case for pruning."""
+    rnd = random.Random(3)
+    posts, n_users, n = 4000, 80, 5
+    rows = []
+    for i in range(posts):
+        x = rnd.random()
+        rows.append((f"p{i:04d}", str(1000 + i % 50), "city", "A", PERIODS[0], 0.5 + 0.5 * x, x * x))
+    c = spark.createDataFrame(rows, "id string, author_id string, topic_label string, location string, "
+                                    "time_period string, final_score double, score double")
+    u = spark.createDataFrame([(str(x), PERIODS[0], "A") for x in range(n_users)],
+                              "user_id string, prefer_time_period string, top_focus_region string")
+    cl = spark.createDataFrame([(str(x), 0.0, 0.0, 0.0, x / n_users) for x in range(n_users)],
+                               "user_id string, prob_0 double, prob_1 double, prob_2 double, prob_3 double")
+    pruned = RC.recall_time(u, c, True, n, V, cl)
+    per_bucket = pruned.groupBy("target_user_id").count().agg(F.max("count"), F.avg("count")).first()
+    assert per_bucket[0] <= posts * 0.06, per_bucket          # the smooth curve keeps about the root of a bucket's width
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "Pandas" not in plan and "Arrow" not in plan
+    a, b = (_rows(RC.recommend_topn(RC.personalized_rank(RC.recall_union(r, r.limit(0), V), cl, V), c.withColumn("bid", F.col("id")), n))
+            for r in (RC.recall_time(u, c, False, n, V, cl), pruned))
+    assert a == b
 
 
 def test_pruned_equals_plain_on_fixture(spark):
