@@ -28,11 +28,14 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
 
 
 def _scan_splits(df: DataFrame) -> int:
-    """Lower bound of the splits of the files under ``df`` (from their sizes; runs nothing)."""
+    """Lower bound of the splits of the files under ``df`` (from their number, or the sizes of a few; runs nothing)."""
+    files = df.inputFiles()
+    if len(files) >= 64:
+        return len(files)
     conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
     path_of = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path
     most = df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    sizes = [path_of(f).getFileSystem(conf).getFileStatus(path_of(f)).getLen() for f in df.inputFiles()]
+    sizes = [path_of(f).getFileSystem(conf).getFileStatus(path_of(f)).getLen() for f in files]
     return sum(-(-size // most) for size in sizes)
 
 
