@@ -36,7 +36,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 INFINITY = float("inf")
 #: Paths of recent parts that a worker keeps, twice at most (some 250 bytes each).
-KEEP = 300_000
+KEEP = 100_000
 
 
 class Transducer:
@@ -279,6 +279,7 @@ def encode(docs: DataFrame, model: str = MODEL, key: str = "doc_id", text: str =
                 yield pa.RecordBatch.from_arrays(
                     [part.column("key"), pa.array(np.diff(ends), pa.int64()), ids, pa.array(same, pa.bool_())],
                     names=["key", "n_tokens", "ids", "round_trip"])
+        fst.older = {}                      # an idle worker keeps the recent paths only
 
     kind = docs.schema[key].dataType.simpleString()
     return (docs.select(F.col(key).alias("key"), F.col(text).alias("text"))

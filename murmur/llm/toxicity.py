@@ -124,7 +124,7 @@ def _count(train: DataFrame, of) -> DataFrame:
         for batch in batches:
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
                 sums[toxic].update(of(text))
-                if len(sums[0]) + len(sums[1]) > 300_000:
+                if len(sums[0]) + len(sums[1]) > 150_000:
                     yield from flush()
         yield from flush()
 
@@ -193,8 +193,14 @@ def _lexicons(train: DataFrame, shares: tuple[float, ...], min_texts: int, min_w
     for share in shares:
         entries = Lexicon(*_select([r for r in rows if r["pos"] >= share * n_pos], n_pos, n_neg))
 
-        def phrases(text: str, entries=entries) -> set[str]:
-            automaton = worker_state(f"toxicity-{sorted(entries.words)}-{sorted(entries.prefixes)}", entries.automaton)
+        name = " ".join((*sorted(entries.words), "*", *sorted(entries.prefixes)))
+
+        def phrases(text: str, entries=entries, name=name) -> set[str]:
+            kept = worker_state("toxicity automaton", dict)         # the last one used
+            if name not in kept:
+                kept.clear()
+                kept[name] = entries.automaton()
+            automaton = kept[name]
             return {p for _, around in hits(entries, automaton, fold(text)).values() for p in around}
 
         found = (_count(train, phrases).where((F.col("neg") >= 3) & (F.col("neg") * n_pos >= F.col("pos") * n_neg))
