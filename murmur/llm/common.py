@@ -14,7 +14,18 @@ from murmur.session import scratch_path
 BROADCAST_ROWS = 2_000_000
 
 
+#: Bytes of a batch that goes to a Python worker; by rows alone (10,000) a batch of very long texts has no bound.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20)
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Set ``BATCH_BYTES`` for the session, unless its configuration names a bound itself."""
+    if spark.sparkContext.getConf().get(BATCH_BYTES[0]) is None:
+        spark.conf.set(*BATCH_BYTES)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -22,6 +33,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared scratch folder and read it back:
     it is computed once, and a lost executor loses nothing of it."""
     spark = df.sparkSession
+    bound_batches(spark)
     path = scratch_path(spark, name) + "/data"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
