@@ -274,3 +274,50 @@ def test_lm_prefers_the_target_and_handles_empty_tables(spark):
     assert mean[1] < mean[0]
     none = spark.createDataFrame([], "doc_id long, text string, is_target boolean")
     assert lm_score.score(none, lm_score.fit(none)).count() == 0
+
+
+def test_lm_counts_stay_exact_beyond_any_table_size(spark):
+    rng = random.Random(11)
+    letters = [chr(0x4E00 + i) for i in range(300)]
+    data = [(i, "".join(rng.choices(letters, k=4000)), i % 3 == 0) for i in range(100)]
+    model = lm_score.fit(spark.createDataFrame(data, "doc_id long, text string, is_target boolean").repartition(3))
+    grams, whole = [Counter(), Counter()], [0, 0]
+    for _, t, target in data:
+        s = "\x02" * 4 + t
+        for end in range(4, len(s) + 1):
+            whole = [whole[0] + target, whole[1] + 1]
+            for n in range(1, 5):
+                grams[1][s[end - n:end]] += 1
+                grams[0][s[end - n:end]] += target
+    assert len(grams[1]) > 300_000
+    totals, scale = [whole[0]] * 2, [1, whole[0] / whole[1]]
+
+    def loss(t, m):
+        s, out = "\x02" * 4 + t, 0.0
+        for end in range(5, len(s) + 1):
+            p = 1 / 301
+            for n in range(1, 5):
+                context = totals[m] if n == 1 else grams[m][s[end - n:end - 1]] * scale[m]
+                p = (grams[m][s[end - n:end]] * scale[m] + lm_score.SMOOTHING * p) / (context + lm_score.SMOOTHING)
+            out -= math.log(p)
+        return out / len(t)
+
+    unseen = [(200, "一丁 not in the corpus"), (201, "x"), (202, " \n"), (202, " \n"), (None, data[5][1])]
+    docs = spark.createDataFrame([r[:2] for r in data[:6]] + unseen, DOC)
+    texts = dict(data_row[:2] for data_row in data) | dict(unseen)
+    got = lm_score.score(docs, model).collect()
+    assert len(got) == 11 and sum(r.score is None for r in got) == 2
+    for r in got:
+        if r.score is not None:
+            assert (r.target_loss, r.background_loss) == pytest.approx((loss(texts[r.key], 0), loss(texts[r.key], 1)), rel=1e-9)
+
+
+def test_lm_grams_of_large_alphabets():
+    codes = np.array([[1, 2, 3, 4], [0, 0x10FFFF, 0, 0], [1, 2, 3, 4], [0, 0x10FFFF, 0, 1]], dtype=np.uint32)
+    for wide in (np.arange(0x110000), lm_score._alphabet(codes)):
+        keys = lm_score._keys(codes, wide)
+        assert keys[0] == keys[2] and len(np.unique(keys)) == 3
+        assert (np.searchsorted(np.sort(keys), keys) == (np.sort(keys)[None] < keys[:, None]).sum(axis=1)).all()
+    big = np.stack([np.arange(60_000, dtype=np.uint32)] * 4, axis=1)
+    rows_, n = lm_score._distinct(np.concatenate([big, big[:5]]))
+    assert len(rows_) == 60_000 and n.sum() == 60_005 and set(map(tuple, rows_)) == set(map(tuple, big))
