@@ -1,11 +1,13 @@
 """Main text of HTML pages by two-pass block rules.
 
 A page is cut into blocks at block-level tags; script, style and other hidden
-content is skipped.  The first pass decides blocks by where they stand
-(navigation, footer, form, advert, comments ... are boilerplate; an article or
-main element is content) and, on pages without such an element, by length,
-stop-word density and link density.  Blocks too short to tell stay open; the
-second pass gives them the class of their nearest decided neighbours.
+content is skipped.  The first pass leaves out what stands in navigation,
+footers, forms, comments or hidden elements.  It adds up the evidence on every
+other block: an article or main element around it speaks for it, such an
+element elsewhere on the page and a name of boilerplate (advert, sidebar ...)
+against it, and length, stop-word density and link density either way.
+Blocks without a balance of evidence stay open, on any page; the second pass
+gives them the class of their nearest decided neighbours.
 """
 
 from __future__ import annotations
@@ -65,6 +67,7 @@ class Block:
     link_chars: int
     boilerplate: bool
     article: bool
+    named: bool = False
     good: bool | None = None
 
 
@@ -73,6 +76,7 @@ class _Open:
     tag: str
     boilerplate: bool
     article: bool
+    named: bool = False             # by a name of boilerplate, its own or an enclosing one's
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -87,12 +91,14 @@ def _opened(tag: str, raw: str, parent: _Open) -> tuple[_Open, bool]:
     comment = bool(names & COMMENT_NAMES)
     junk = parent.boilerplate or tag in BOILERPLATE_TAGS or comment or a.get("role", "") in BOILERPLATE_ROLES
     if tag in ("article", "main") or a.get("role") in ("main", "article") or "articleBody" in a.get("itemprop", ""):
-        return _Open(tag, parent.boilerplate or comment, not (parent.boilerplate or comment) or parent.article), hidden
+        outside = parent.boilerplate or parent.named or comment
+        return _Open(tag, parent.boilerplate or comment, not outside or parent.article, parent.named), hidden
+    named = parent.named
     if tag not in ("body", "html"):
-        junk = junk or bool(names & BOILERPLATE_NAMES)
+        named = named or bool(names & BOILERPLATE_NAMES)
         if not parent.article:
-            junk = junk or tag == "header" or "header" in names
-    return _Open(tag, junk, parent.article), hidden
+            junk, named = junk or tag == "header", named or "header" in names
+    return _Open(tag, junk, parent.article, named), hidden
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -107,7 +113,7 @@ def blocks_of(page: str) -> list[Block]:
         if text:
             top = stack[-1]
             byline = top.article and any(x.tag == "header" for x in stack) and not any(x.tag in HEADINGS for x in stack)
-            out.append(Block(top.tag, text, link_chars, top.boilerplate or byline, top.article))
+            out.append(Block(top.tag, text, link_chars, top.boilerplate or byline, top.article, top.named))
         parts.clear()
         link, link_chars = 0, 0
 
@@ -153,30 +159,37 @@ def blocks_of(page: str) -> list[Block]:
         if tag in VOID:
             continue
         state, hidden = _opened(tag, m[3], stack[-1])
-        stack.append(_Open(tag, state.boilerplate or hidden, state.article))
+        stack.append(_Open(tag, state.boilerplate or hidden, state.article, state.named))
     text(len(page))
     flush()
     return out
 
 
+def _evidence(b: Block, framed: bool) -> int:
+    """Above zero for content, below for boilerplate; ``framed``: some article or main element holds text."""
+    words = _WORD.findall(b.text.lower())
+    n = len(words)
+    links = min(1.0, b.link_chars / max(1, len(b.text)))
+    stops = sum(w in STOP_WORDS for w in words) / max(1, n)
+    if b.named:
+        place = -2 - (framed and not b.article)
+    else:
+        place = 2 if b.article else -(framed and n >= SHORT)
+    if links > MANY_LINKS:
+        return place - (2 if n < SHORT and b.tag != "li" or b.tag in HEADINGS else 3)
+    if n >= LONG:
+        return place + (2 if stops >= STOPS or links <= SOME_LINKS and n >= 2 * LONG else -1)
+    return place + (n >= SHORT and stops >= STOPS and links <= SOME_LINKS and b.tag not in HEADINGS)
+
+
 def classify(blocks: list[Block]) -> None:
     """Both passes; sets ``good`` of every block."""
     framed = any(b.article and not b.boilerplate for b in blocks)
     for b in blocks:
-        words = _WORD.findall(b.text.lower())
-        n = len(words)
-        links = min(1.0, b.link_chars / max(1, len(b.text)))
-        stops = sum(w in STOP_WORDS for w in words) / max(1, n)
-        if b.boilerplate or (framed and not b.article):
-            b.good = False
-        elif b.article:
-            b.good = True
-        elif links > MANY_LINKS:
+        if b.boilerplate:
             b.good = False
-        elif n >= LONG:
-            b.good = stops >= STOPS or links <= SOME_LINKS and n >= 2 * LONG
-        elif n >= SHORT and stops >= STOPS and links <= SOME_LINKS and b.tag not in HEADINGS:
-            b.good = True
+        elif evidence := _evidence(b, framed):
+            b.good = evidence > 0
     before, last = [], None                 # nearest decided block to the left of each: (distance, class)
     for i, b in enumerate(blocks):
         last = (i, b.good) if b.good is not None else last

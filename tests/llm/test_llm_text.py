@@ -53,6 +53,20 @@ def test_html_short_blocks_follow_their_neighbours():
     assert html_text.main_text(page) == f"{long}\nYes.\n{long}"
 
 
+def test_html_densities_decide_on_framed_pages_too():
+    long = "the dog and the cat were on the way to the town and they had a good time at the party that was in the town"
+    links = "".join(f"<li><a href=x>more stories like this one, number {i}</a></li>" for i in range(4))
+    card = "<article class=card><h3><a href=y>Next story</a></h3></article>"
+    page = f"<nav><a href=z>n</a></nav><div id=content><h2>Title</h2><p>{long}</p><p>Yes.</p><p>{long}</p></div><ul>{links}</ul>{card}<footer>f</footer>"
+    assert html_text.main_text(page) == f"Title\n{long}\nYes.\n{long}"
+    page = f"<article><h1><a href=y>Title</a></h1><p>{long}</p><p>Yes.</p><ul>{links}</ul></article><footer>{long}</footer>"
+    assert html_text.main_text(page) == f"Title\n{long}\nYes."
+    page = f"<main><p>{long}</p></main><div class=advert><p>{long}</p><p>Buy it now.</p></div>"
+    assert html_text.main_text(page) == long
+    page = f"<div class=has-sidebar><p>{long}</p><p>{long}</p></div>"
+    assert html_text.main_text(page) == f"{long}\n{long}"
+
+
 def test_html_long_page_and_frame_edges(spark):
     body = "".join(f"<p>w{i} &amp; x</p>" for i in range(20_000))
     assert html_text.main_text(f"<article>{body}</article>").count("\n") == 19_999
