@@ -26,8 +26,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by shingle similarity."""
-    return jaccard_join.deduplicate(docs)
+    """One document of each group linked by a similarity of 0.8 or more of their five-word shingles."""
+    return jaccard_join.deduplicate(docs, threshold=80, k=5)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

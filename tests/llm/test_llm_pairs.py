@@ -307,6 +307,28 @@ def test_pipeline_stages(spark, tmp_path):
     assert corpus_pipeline.run(spark, empty).count() == 0
 
 
+def test_pipeline_drops_near_copies_from_0_80(spark):
+    rng, texts = random.Random(9), []
+    for _ in range(60):
+        base = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([60, 200, 460]))]
+        if rng.random() < 0.5:          # words appended, or scattered words changed: similarities from about 0.76 to 0.87
+            copy = base + [f"x{rng.randrange(5000)}" for _ in range(round(len(base) * rng.uniform(0.15, 0.31)))]
+        else:
+            copy = list(base)
+            for i in rng.sample(range(len(base)), max(1, round(len(base) * rng.uniform(0.014, 0.028)))):
+                copy[i] = f"x{rng.randrange(5000)}"
+        texts += [" ".join(base), " ".join(copy)]
+    want, between = set(range(len(texts))), 0
+    for i in range(0, len(texts), 2):
+        a, b = ({tuple(w[j:j + 5]) for j in range(len(w) - 4)} for w in (texts[i].split(), texts[i + 1].split()))
+        if 100 * len(a & b) >= 80 * len(a | b):
+            want.remove(i + 1)
+            between += 100 * len(a & b) < 85 * len(a | b)
+    assert between > 10 and len(want) > len(texts) // 2 + 3
+    kept = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(list(enumerate(texts)), DOC), "")
+    assert {r.doc_id for r in kept.collect()} == want
+
+
 def test_nothing_else_imports_this_subpackage():
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     for folder, _, names in os.walk(os.path.join(root, "murmur")):
