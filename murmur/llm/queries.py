@@ -7,7 +7,8 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from murmur.llm import chat, decontam, html_text, jaccard_join, langid, lm_score, oracles, quality, sentencepiece_fst, toxicity, warc
+from murmur.llm import (chat, decontam, hard_negatives, html_text, jaccard_join, langid, lm_score, multi_index, oracles, quality,
+                        sentencepiece_fst, toxicity, warc, whitening)
 from murmur.llm.common import remainder, sized_join, table
 
 
@@ -77,6 +78,21 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.windows(turns.unionByName(probe))).withColumnRenamed("conv", "conv_id")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # ``deviation`` outgrows a long at some ten million rows: null there, exact in ``deviation_exact``.
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("deviation", "deviation_exact").withColumn(
+        "deviation", F.col("deviation_exact").try_cast("long"))
+
+
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "pipeline": corpus_pipeline.run,
@@ -90,6 +106,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": op8_language_id,
         "op10_chat_format": op10_chat_format,
         "op9_benchmark_decontamination": op9_benchmark_decontamination,
+        "op11_embedding_whitening": op11_embedding_whitening,
+        "op12_nearest_neighbours": op12_nearest_neighbours,
+        "op13_hard_negatives": op13_hard_negatives,
     }
 
 
@@ -100,4 +119,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_warc": oracles.WARC,
         "op6_quality_rules": oracles.QUALITY,
         "op9_benchmark_decontamination": oracles.DECONTAMINATION,
+        "op13_hard_negatives": oracles.HARD_NEGATIVES,
     }

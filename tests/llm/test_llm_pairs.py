@@ -30,7 +30,7 @@ def rows(df, *cols):
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_queries_equal_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "embeddings"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF0001}/{t}.parquet'")
     want = con.sql(queries.oracle_sql()[name])
     got = queries.queries()[name](spark, SF0001)
