@@ -7,15 +7,15 @@ that a linked larger set may be in), and within a band they differ in at most
 second-level ones; at most ``k2`` differences are left in some partition, so one
 of the subsets of ``n2 - k2`` second-level partitions agrees in full: its hash is
 a shared signature.  An empty agreement says nothing, so there are ``spare`` more
-partitions than differences can spoil, and only sets that have more empty ones
-than that sign those too.
+partitions than differences can spoil: as many as the smallest set of the band hardly
+ever leaves empty.  Only sets that have more empty ones than that sign those too.
 
 Equal sets are one node.  Nodes of a signature bucket become candidates in two
 steps, so that no bucket is expanded into all its pairs: every node against the
 bucket's first one (which links nearly all near copies), and then, in buckets that
-still hold several components, blocks of nodes against each other in numpy, where
-a parity sketch rules out all but near pairs of different components.  Candidates
-of both steps are verified on the sets themselves.
+still hold several components, nodes outside the largest one against the others, block by
+block in numpy, where a short parity sketch rules out most.  Candidates of both steps
+are compared by sketches as long as the sets have members, and verified on the sets themselves.
 """
 
 from __future__ import annotations
@@ -34,8 +34,9 @@ THRESHOLD = 85
 SHINGLE = 4
 GROWTH = 1.384                  # upper over lower size of a band
 SUBSETS_UP_TO = 256             # bands of sets up to this size enumerate subsets (more signatures, fewer candidates)
-SKETCH_BITS = 1024
-BUCKET_BLOCK = 256
+SKETCH_BITS = 1024              # of the short sketch; that of a set has at least one for each member
+MINOR_BLOCK, OTHER_BLOCK = 256, 4096
+SPARE_DEVIATIONS = 4            # empty partitions are allowed for up to their mean and so many standard deviations
 
 
 def bands(threshold: int, up_to: int) -> list[tuple[int, int, int, int, int, int]]:
@@ -47,12 +48,24 @@ def bands(threshold: int, up_to: int) -> list[tuple[int, int, int, int, int, int
         k = (100 - threshold) * 2 * high // (100 + threshold)
         k2, n2 = (1, 3) if high <= SUBSETS_UP_TO else (0, 1)
         n1 = k // (k2 + 1) + 1
-        spare = 2 + n1 * 3 // 100
+        spare = _spare(n1, n2, k2, max(1, -(-threshold * low // 100)))
         out.append((low, high, k, n1 + spare, n2, spare))
         low = high + 1
     return out
 
 
+def _spare(n1: int, n2: int, k2: int, members: int) -> int:
+    """Partitions beyond ``n1`` that make up for those a set of ``members`` leaves empty (in some subset to be signed)."""
+    spare = 2
+    while True:
+        cells = n1 + spare
+        empty = min(1.0, math.comb(n2, k2) * (1 - (n2 - k2) / (n2 * cells)) ** members)
+        want = 1 + math.ceil(cells * empty + SPARE_DEVIATIONS * math.sqrt(cells * empty * (1 - empty)))
+        if want <= spare or empty > 0.5:            # tiny sets can't fill partitions
+            return spare
+        spare = want
+
+
 def signatures(sets: list[np.ndarray], threshold: int = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
     """Signatures of all ``sets`` and the index of the set each belongs to.
 
@@ -99,16 +112,30 @@ def signatures(sets: list[np.ndarray], threshold: int = THRESHOLD) -> tuple[np.n
     return np.concatenate(out_sig), owner[np.concatenate(out_job)]
 
 
-def sketch(s: np.ndarray) -> bytes:
-    """Parity of the members in each of ``SKETCH_BITS`` cells: two sketches differ in
-    no more cells than the sets differ in members."""
-    cell = (mix(s ^ np.uint64(0x8EBC6AF09C88C6E3)) >> np.uint64(54)).astype(np.int64) % SKETCH_BITS
-    return np.packbits((np.bincount(cell, minlength=SKETCH_BITS) & 1).astype(np.uint8)).tobytes()
+def sketch(s: np.ndarray, bits: int | None = None) -> bytes:
+    """Parity of the members in each of ``bits`` cells (a power of two; by default at least one a member, and
+    ``SKETCH_BITS``): two sketches of one length differ in no more cells than the sets differ in members."""
+    bits = bits or max(SKETCH_BITS, 1 << (len(s) - 1).bit_length())
+    cell = (mix(s ^ np.uint64(0x8EBC6AF09C88C6E3)) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(cell, minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def _fold(words: np.ndarray, size: int) -> np.ndarray:
+    """A sketch shortened to ``size`` words: cells that agree modulo the shorter length are one."""
+    while len(words) > size:
+        words = words[:len(words) // 2] ^ words[len(words) // 2:]
+    return words
+
 
+def _apart(a: bytes, b: bytes) -> int:
+    """Cells in which two sketches differ, at the length of the shorter one."""
+    u, v = np.frombuffer(a, dtype=np.uint64), np.frombuffer(b, dtype=np.uint64)
+    size = min(len(u), len(v))
+    return int(np.bitwise_count(_fold(u, size) ^ _fold(v, size)).sum(dtype=np.int64))
 
-def _may_link(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, threshold: int) -> np.ndarray:
-    """Pairs whose sketches (rows of 64-bit words) and sizes do not rule out a link."""
-    apart = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
+
+def _may_link(apart: np.ndarray, na: np.ndarray, nb: np.ndarray, threshold: int) -> np.ndarray:
+    """Pairs that their sketches and sizes do not rule out as linked."""
     apart = np.maximum(apart, np.abs(na - nb))
     return (100 + threshold) * apart <= (100 - threshold) * (na + nb)
 
@@ -179,16 +206,17 @@ def _buckets(signed: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
-    """node, n, sketch, members (bytes) of every row of ``docs``."""
+    """node, n, short and sketch, members (bytes) of every row of ``docs``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 got = list(shingle_sets(batch.slice(at, 200).column("text"), k))
                 yield pa.RecordBatch.from_pydict({
                     "node": pa.array([fingerprint(s) for s in got], pa.int64()), "n": pa.array([len(s) for s in got], pa.int64()),
-                    "sketch": pa.array([sketch(s) for s in got], pa.binary()), "members": pa.array([s.tobytes() for s in got], pa.binary())})
+                    "short": pa.array([sketch(s, SKETCH_BITS) for s in got], pa.binary()), "sketch": pa.array([sketch(s) for s in got], pa.binary()),
+                    "members": pa.array([s.tobytes() for s in got], pa.binary())})
 
-    return docs.select("text").mapInArrow(run, "node long, n long, sketch binary, members binary").dropDuplicates(["node"])
+    return docs.select("text").mapInArrow(run, "node long, n long, short binary, sketch binary, members binary").dropDuplicates(["node"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -199,7 +227,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
             if x.num_rows:
-                ok = _may_link(_words(x.column("sketch_a")), _words(x.column("sketch_b")), _ints(x, "n_a"), _ints(x, "n_b"), threshold)
+                apart = np.array([_apart(a.as_py(), b.as_py()) for a, b in zip(x.column("sketch_a"), x.column("sketch_b"))])
+                ok = _may_link(apart, _ints(x, "n_a"), _ints(x, "n_b"), threshold)
                 yield x.select(["a", "b"]).filter(pa.array(ok))
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,7 +268,7 @@ def _forest(edges: DataFrame) -> DataFrame:
     return edges.select("u", "v").mapInArrow(run, "u long, v long")
 
 
-def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """``node``, ``comp`` (least node reachable) of every node of ``edges(a, b)``.
 
     Tasks first shrink their edges to forests; then large-star and small-star steps
@@ -247,7 +276,7 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     them back, so no task holds a component.
     """
     e = stored(_forest(stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")), "edges")).distinct(), "forest")
-    for _ in range(rounds):
+    while True:
         ends = (e.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("top"))
                 .unionByName(e.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("top")))
                 .groupBy("x").agg(F.sum("up").alias("ups"), F.max("top").alias("top")))
@@ -262,19 +291,29 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         small = (large.join(least, "u").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v"))
         e = stored(_forest(stored(small, "stars")).distinct(), "forest")
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
 def _block_pairs(buckets: DataFrame, sets: DataFrame, comp: DataFrame, threshold: int) -> DataFrame:
-    """Candidates (a, b) of different components that share a bucket and that the sketches do not rule out."""
-    w = Window.partitionBy("sig")
+    """Candidates (a, b) of different components that share a bucket and that the short sketches do not rule out.
+
+    Every such pair has a node outside the bucket's largest component.  Those minor nodes, in blocks, meet all nodes, in
+    blocks: a stranger in a bucket of near copies costs one comparison with each of them, not all their pairs.
+    """
     # Pairs with the first node are verified, so it is left out, and with it every bucket of two.
-    rows = (buckets.where("node <> first").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-            .withColumn("low", F.min("comp").over(w)).withColumn("high", F.max("comp").over(w))
-            .withColumn("blocks", F.ceil(F.count("*").over(w) / BUCKET_BLOCK)).where("low <> high"))
-    rows = (rows.withColumn("own", F.pmod(F.xxhash64("node"), "blocks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-            .select("sig", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "node", "comp")
-            .join(sets.select("node", "n", "sketch"), "node"))
+    rows = (buckets.where("node <> first").join(comp, "node", "left")
+            .select("sig", "node", F.coalesce("comp", "node").alias("comp")))
+    largest = (rows.groupBy("sig", "comp").agg(F.count("*").alias("size")).groupBy("sig")
+               .agg(F.max(F.struct("size", "comp")).alias("top"), F.sum("size").alias("all"))
+               .where(F.col("all") > F.col("top.size"))
+               .select("sig", F.col("top.comp").alias("main"),
+                       F.ceil((F.col("all") - F.col("top.size")) / MINOR_BLOCK).alias("minors"),
+                       F.ceil(F.col("all") / OTHER_BLOCK).alias("others")))
+    rows = stored(rows.join(largest, "sig"), "open-buckets")
+    block = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    rows = (rows.where("comp <> main").select("sig", block("minors").alias("x"), each("others").alias("y"), F.lit(True).alias("minor"), "node", "comp")
+            .unionByName(rows.select("sig", each("minors").alias("x"), block("others").alias("y"), F.lit(False).alias("minor"), "node", "comp"))
+            .join(sets.select("node", "n", "short"), "node"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -291,31 +330,33 @@ def _block_pairs(buckets: DataFrame, sets: DataFrame, comp: DataFrame, threshold
             yield from groups(rest, np.stack([rest.column(c).to_numpy() for c in ("sig", "x", "y")], axis=1))
 
     def groups(rows: pa.Table, key: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """Near pairs within runs of equal keys (a run has two blocks at most)."""
+        """Near pairs within runs of equal keys (a run has one block of minor nodes and one of others)."""
         if len(key) < 2:
             return
         cuts = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1, [len(key)]])
-        node, comp, n = (rows.column(c).to_numpy() for c in ("node", "comp", "n"))
-        words = _words(rows.column("sketch").combine_chunks())
+        node, comp, n, minor = (rows.column(c).to_numpy() for c in ("node", "comp", "n", "minor"))
+        words = _words(rows.column("short").combine_chunks())
         left, right, held = [], [], 0
 
         def near():
             i, j = np.concatenate(left), np.concatenate(right)
             ok = comp[i] != comp[j]
             i, j = i[ok], j[ok]
-            ok = _may_link(words[i], words[j], n[i], n[j], threshold)
+            ok = _may_link(np.bitwise_count(words[i] ^ words[j]).sum(axis=1, dtype=np.int64), n[i], n[j], threshold)
             a, b = np.minimum(node[i[ok]], node[j[ok]]), np.maximum(node[i[ok]], node[j[ok]])
             pairs = np.unique(np.stack([a, b], axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
         for a, b in zip(cuts[:-1], cuts[1:]):
-            i, j = np.triu_indices(b - a, 1)
-            left.append(i + a)
-            right.append(j + a)
-            held += len(i)
-            if held > 100_000:
-                yield near()
-                left, right, held = [], [], 0
+            few, all_ = np.flatnonzero(minor[a:b]) + a, np.flatnonzero(~minor[a:b]) + a
+            for at in range(0, len(few), 16):
+                i = few[at:at + 16]
+                left.append(np.repeat(i, len(all_)))
+                right.append(np.tile(all_, len(i)))
+                held += len(i) * len(all_)
+                if held > 100_000:
+                    yield near()
+                    left, right, held = [], [], 0
         if held:
             yield near()
 

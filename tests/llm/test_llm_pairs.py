@@ -83,7 +83,8 @@ def near_copies(seed, originals=12, copies=14):
 
 @pytest.mark.parametrize("seed", [1, 2])
 def test_join_equals_all_pairs(spark, seed, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "BUCKET_BLOCK", 5)            # several blocks in a bucket
+    monkeypatch.setattr(jaccard_join, "MINOR_BLOCK", 2)             # several blocks in a bucket
+    monkeypatch.setattr(jaccard_join, "OTHER_BLOCK", 5)
     texts = near_copies(seed)
     comp, sizes = direct_components(texts)
     df = spark.createDataFrame(list(enumerate(texts)), DOC).repartition(5)
@@ -115,8 +116,51 @@ def test_shingle_sets_sizes_and_sketches():
     assert [len(s) for s in sets] == [len(shingles(t)) for t in texts]
     assert [fingerprint(s) for s in shingle_sets(pa.array(texts, pa.string()).slice(3, 9))] == [fingerprint(s) for s in sets[3:12]]
     for a, b in zip(sets, sets[1:]):
-        x, y = (np.frombuffer(jaccard_join.sketch(s), dtype=np.uint64) for s in (a, b))
-        assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+        assert jaccard_join._apart(jaccard_join.sketch(a), jaccard_join.sketch(b)) <= len(np.setxor1d(a, b))
+
+
+def test_sketches_of_long_sets():
+    """Never more apart than the sets differ, at any two lengths, and far apart for unrelated sets."""
+    rng = np.random.default_rng(5)
+    for size in (900, 1100, 2049, 5000, 40_000):
+        a = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+        assert jaccard_join._fold(np.frombuffer(jaccard_join.sketch(a), dtype=np.uint64), 16).tobytes() == jaccard_join.sketch(a, 1024)
+        for changed in (0, 1, size // 20, size // 3):
+            b = np.unique(np.concatenate([a[changed:], rng.integers(0, 1 << 63, changed // 2, dtype=np.uint64)]))
+            assert jaccard_join._apart(jaccard_join.sketch(a), jaccard_join.sketch(b)) <= len(np.setxor1d(a, b))
+        other = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+        apart = np.array([jaccard_join._apart(jaccard_join.sketch(a), jaccard_join.sketch(other))])
+        n = np.array([size])
+        assert not jaccard_join._may_link(apart, n, n, 80)[0]
+
+
+@pytest.mark.parametrize("threshold, k", [(80, 5), (85, 4)])
+def test_few_sets_sign_empty_subsets(threshold, k):
+    """An agreement of empty partitions alone must stay rare, or unrelated sets of a band become candidates."""
+    con = duckdb.connect()
+    texts = con.sql("SELECT text FROM '/root/testdata/sf0.01/documents.parquet'").arrow()
+    texts = texts.read_all() if hasattr(texts, "read_all") else texts
+    sets = {fingerprint(s): s for s in shingle_sets(texts.column(0).combine_chunks(), k) if len(s) > 20}
+    sets = list(sets.values())
+    sig, owner = jaccard_join.signatures(sets, threshold)
+    order = np.argsort(sig, kind="stable")
+    pairs = set()
+    for run in np.split(owner[order], np.flatnonzero(np.diff(sig[order])) + 1):
+        nodes = sorted(set(run.tolist()))
+        pairs |= {(x, y) for i, x in enumerate(nodes) for y in nodes[i + 1:]}
+    strangers = sum(not len(np.intersect1d(sets[x], sets[y])) for x, y in pairs)
+    assert strangers <= len(sets) * 0.02, (strangers, len(pairs), len(sets))
+
+
+def test_stranger_in_a_bucket_of_copies_costs_no_pairs_of_copies(spark):
+    """Candidates of a bucket with one large component and a stranger: the stranger's own pairs only."""
+    nodes = list(range(1, 402))
+    buckets = spark.createDataFrame([(9, i, 1) for i in nodes], "sig long, node long, first long")
+    comp = spark.createDataFrame([(i, 1) for i in nodes[:-1]] + [(401, 401)], "node long, comp long")
+    s = np.arange(500, dtype=np.uint64)
+    sets = spark.createDataFrame([(i, 500, jaccard_join.sketch(s, 1024)) for i in nodes], "node long, n long, short binary")
+    got = jaccard_join._block_pairs(buckets, sets, comp, 80).collect()
+    assert {(r.a, r.b) for r in got} == {(i, 401) for i in range(2, 401)}
 
 
 def test_join_frames(spark):
