@@ -162,6 +162,51 @@ def test_unigram_weights_give_the_least_path_of_all_segmentations():
             assert "".join(pieces[i] for i in got) == text
 
 
+def test_long_parts_and_blocks_take_the_same_paths():
+    """The array composition of a block and the plain one of a long part give the same labels."""
+    rng = random.Random(9)
+    fst = sp.transducer(sp.MODEL)
+    parts = ["".join(rng.choice("abcdeinorst▁.é日😀") for _ in range(rng.randrange(1, 60))) for _ in range(400)]
+    labels, counts = fst.best_paths(parts)
+    assert [x.tolist() for x in np.split(labels, np.cumsum(counts)[:-1])] == [fst.best_path(p) for p in parts]
+
+
+def test_known_parts_may_be_forgotten_at_any_time(spark, monkeypatch):
+    import sentencepiece
+    lib = sentencepiece.SentencePieceProcessor(model_file=sp.MODEL)
+    monkeypatch.setattr(sp, "KEEP", 300)
+    fst = sp.Transducer.load(sp.MODEL)
+    texts = [r.text for r in spark.read.parquet(f"{SF0001}/documents.parquet").select("text").limit(40).collect()]
+    for a in range(0, 40, 3):
+        ids, lengths, same = fst.encode_block(texts[a:a + 3])
+        assert [x.tolist() for x in np.split(ids, np.cumsum(lengths)[:-1])] == lib.encode(texts[a:a + 3]) and same.all()
+
+
+@pytest.mark.parametrize("rule, squeeze", [("nmt_nfkc_cf", True), ("nfkc", False)])
+def test_models_with_a_normaliser_equal_the_library(rule, squeeze):
+    """The rules of a model's normaliser are compiled too: the given pieces under other normalisers."""
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2 as pb
+    m = pb.ModelProto()
+    with open(sp.MODEL, "rb") as f:
+        m.ParseFromString(f.read())
+    other = pb.ModelProto()
+    other.ParseFromString(sentencepiece.SentencePieceNormalizer(rule_name=rule).serialized_model_proto())
+    m.normalizer_spec.CopyFrom(other.normalizer_spec)
+    m.normalizer_spec.remove_extra_whitespaces = squeeze
+    data = m.SerializeToString()
+    fst, lib = sp.Transducer.compile(data), sentencepiece.SentencePieceProcessor(model_proto=data)
+    texts = TEXTS + ["ﬁ  Ａ Éé ①② ㍿", " ｶﾞ ½ … ™  ", "\u200bx\u00a0y\u3000z", "é á ẛ̣", "ſ ﬄ ﷺ"]
+    for t in texts:
+        assert fst.encode(t) == lib.encode(t), t
+    assert fst.encode_block(["plain text", "ﬁ"])[2].tolist() == [True, False]
+
+
+def test_unknown_pieces_of_a_model_without_bytes():
+    fst = sp.Transducer(["<unk>", "a", "▁", "▁a"], [0.0, -1.0, -2.0, -1.5], 0, set(), {}, bpe=False)
+    assert fst.encode("a xya\n") == [3, 2, 0, 1, 0]
+
+
 def test_sentencepiece_frames(spark):
     docs = spark.createDataFrame([(1, None, 5), (1, None, 5), (2, "x" * 30_000 + " é", 6), (None, "ab", 7)], "doc_id long, text string, ids int")
     out = sp.encode(docs)
