@@ -11,6 +11,7 @@ _MODULES = (
     "murmur.plans.profile_queries",
     "murmur.plans.recommend_queries",
     "murmur.plans.text_queries",
+    "murmur.plans.topic_queries",
     "murmur.plans.io_queries",
     "murmur.plans.rollup_queries",
 )
