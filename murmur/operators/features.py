@@ -33,7 +33,12 @@ def rule_features(df: DataFrame, vocab: Vocab = REFERENCE) -> DataFrame:
     })
 
 
-def tokenize(df: DataFrame, col: str = "text", out: str = "words", min_len: int = 2) -> DataFrame:
-    """Token list per row: letter/digit runs plus Han character bigrams,
-    tokens shorter than ``min_len`` dropped; NULL or blank text -> []."""
+def tokenize(df: DataFrame, col: str = "text", out: str = "words", min_len: int = 2,
+             dictionary: DataFrame | None = None) -> DataFrame:
+    """Token list per row: letter/digit runs plus Han character bigrams (with a
+    ``dictionary``, the words of the Han runs instead), tokens shorter than
+    ``min_len`` dropped; NULL or blank text -> []."""
+    if dictionary is not None:
+        from murmur.operators.segment import segmented_tokens
+        return segmented_tokens(df, dictionary, col, out, min_len)
     return df.withColumn(out, TX.tokens(F.col(col), min_len))

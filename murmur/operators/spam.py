@@ -12,8 +12,8 @@ from murmur.operators.features import RULE_FEATURES, rule_features, tokenize
 from murmur.vocab import REFERENCE, Vocab
 
 
-def spam_features(df: DataFrame, vocab: Vocab = REFERENCE) -> DataFrame:
-    return tokenize(rule_features(df, vocab))
+def spam_features(df: DataFrame, vocab: Vocab = REFERENCE, dictionary: DataFrame | None = None) -> DataFrame:
+    return tokenize(rule_features(df, vocab), dictionary=dictionary)
 
 
 def spam_pipeline(num_features: int = 1500, with_mean: bool = True, max_iter: int = 100):
@@ -51,12 +51,12 @@ def train_test_split(df: DataFrame, test_fraction: float = 0.2, key: str = "text
     return df.where(b >= cut), df.where(b < cut)
 
 
-def train_spam_model(train: DataFrame, vocab: Vocab = REFERENCE, **kw):
-    return spam_pipeline(**kw).fit(spam_features(train, vocab))
+def train_spam_model(train: DataFrame, vocab: Vocab = REFERENCE, dictionary: DataFrame | None = None, **kw):
+    return spam_pipeline(**kw).fit(spam_features(train, vocab, dictionary))
 
 
-def predict_spam(df: DataFrame, model, vocab: Vocab = REFERENCE) -> DataFrame:
-    return model.transform(spam_features(df, vocab))
+def predict_spam(df: DataFrame, model, vocab: Vocab = REFERENCE, dictionary: DataFrame | None = None) -> DataFrame:
+    return model.transform(spam_features(df, vocab, dictionary))
 
 
 def filter_spam(df: DataFrame, model, vocab: Vocab = REFERENCE) -> DataFrame:
