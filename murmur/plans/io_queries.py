@@ -171,3 +171,19 @@ def _stream_hourly(s, d):
 register("stream_hourly_volume", with_posts(
     f"""SELECT strftime(date_trunc('hour', created_at), '%Y-%m-%d %H:%M:%S') AS hour_start, count(*) AS posts
         FROM ({CLEAN_SQL_BODY}) c GROUP BY 1""", V, with_text=True))(_stream_hourly)
+
+
+# STR2 with state that expires: every post crawled three times while its counters grow, the copies dealt over five batches
+def _stream_recrawl(s, d):
+    from murmur.streaming.recrawl import counter_updates, read_counters, write_updates
+    base = scratch_path(s, "recrawl")
+    posts = _posts(s, d).withColumn("text", F.lit("")).withColumn("crawl", F.explode(F.array(F.lit(0), F.lit(10), F.lit(20))))
+    raw = raw_messages(posts.withColumn("reposts_count", F.col("reposts_count") + F.col("crawl")).drop("crawl"))
+    _finish(write_updates(counter_updates(_message_stream(s, raw, base), V), f"{base}/out", f"{base}/ckpt", available_now=True))
+    return read_counters(s.read.parquet(f"{base}/out")).select(
+        "id", F.col("dt").cast("string").alias("dt"), "reposts_count", "comments_count", "attitudes_count")
+
+
+register("stream_recrawl", with_posts(
+    """SELECT id, dt, CAST(reposts_count + 20 AS BIGINT) AS reposts_count, CAST(comments_count AS BIGINT) AS comments_count,
+              CAST(attitudes_count AS BIGINT) AS attitudes_count FROM posts""", V))(_stream_recrawl)
