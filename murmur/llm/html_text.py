@@ -8,6 +8,11 @@ element elsewhere on the page and a name of boilerplate (advert, sidebar ...)
 against it, and length, stop-word density and link density either way.
 Blocks without a balance of evidence stay open, on any page; the second pass
 gives them the class of their nearest decided neighbours.
+
+A name of reader comments is no verdict: it says nothing on ``html``, ``body``, ``article`` or ``main``, nor on an element
+with a main element or a page heading inside, nor where no other block of the page is content.  Lengths count words, or
+pairs of characters in scripts without spaces; on a page in a language without stop words here, ends of sentences stand in
+for them.
 """
 
 from __future__ import annotations
@@ -50,6 +55,12 @@ el que y los del se las por un para con no una su al lo como más pero sus le ya
 muy sin sobre también me hasta hay donde
 """.split())
 
+#: Raw text up to their end tag, whatever it holds, or to the end of the page; the other skipped ones only if they are closed.
+RAW = {"script", "style", "textarea", "title", "iframe"}
+#: Headings of lists of other pages.
+ELSEWHERE = re.compile(r"(you (may|might) also (like|enjoy)|related (posts|articles|stories|reading)|read next|more (from|stories)\b.*|"
+                       r"recommended( for you| reading)?|popular (posts|now|stories)|trending( now)?)\W*", re.I)
+
 LONG, SHORT = 25, 10            # words
 MANY_LINKS, SOME_LINKS = 0.5, 0.3
 STOPS = 0.15
@@ -58,6 +69,8 @@ _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/
 _ATTR = re.compile(r"""([^\s=/"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _WORD = re.compile(r"[^\W\d_]+")
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u3040-\u30ff\u3400-\u9fff]")        # scripts without spaces: South-East and East Asia
+_SENTENCE = re.compile(r"[.!?…؟۔।]\s|[.!?…؟۔।]\W*$|[。！？]")
 
 
 @dataclass
@@ -68,6 +81,8 @@ class Block:
     boilerplate: bool
     article: bool
     named: bool = False
+    comment: int = 0                # number of the outermost element with a name of comments, if any
+    elsewhere: bool = False         # under a heading of other pages
     good: bool | None = None
 
 
@@ -77,6 +92,7 @@ class _Open:
     boilerplate: bool
     article: bool
     named: bool = False             # by a name of boilerplate, its own or an enclosing one's
+    comment: int = 0
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -87,18 +103,38 @@ def _opened(tag: str, raw: str, parent: _Open) -> tuple[_Open, bool]:
     """State inside an element, and whether it is hidden."""
     a = _attributes(raw)
     names = {x.lower() for x in _NAME.findall(f"{a.get('class', '')} {a.get('id', '')}")}
-    hidden = "hidden" in a or a.get("aria-hidden") == "true" or bool(re.search(r"display\s*:\s*none", a.get("style", "")))
-    comment = bool(names & COMMENT_NAMES)
-    junk = parent.boilerplate or tag in BOILERPLATE_TAGS or comment or a.get("role", "") in BOILERPLATE_ROLES
+    hidden = _hidden(a)
+    comment = parent.comment or -(tag not in ("html", "body") and bool(names & COMMENT_NAMES))      # -1: a new one
+    junk = parent.boilerplate or tag in BOILERPLATE_TAGS or a.get("role", "") in BOILERPLATE_ROLES
     if tag in ("article", "main") or a.get("role") in ("main", "article") or "articleBody" in a.get("itemprop", ""):
+        if tag in ("article", "main"):
+            # An article of its own, or one comment of a list of them.
+            comment = parent.comment or -bool(names & COMMENT_NAMES and "comment" in names and not names & {"open", "enabled", "closed", "post"})
         outside = parent.boilerplate or parent.named or comment
-        return _Open(tag, parent.boilerplate or comment, not outside or parent.article, parent.named), hidden
+        return _Open(tag, parent.boilerplate, not outside or parent.article, parent.named, comment), hidden
     named = parent.named
     if tag not in ("body", "html"):
         named = named or bool(names & BOILERPLATE_NAMES)
         if not parent.article:
             junk, named = junk or tag == "header", named or "header" in names
-    return _Open(tag, junk, parent.article, named), hidden
+    return _Open(tag, junk, parent.article, named, comment), hidden
+
+
+def _hidden(a: dict[str, str]) -> bool:
+    return "hidden" in a or a.get("aria-hidden") == "true" or bool(re.search(r"display\s*:\s*none", a.get("style", "")))
+
+
+def _skip(page: str, tag: str, pos: int) -> int:
+    """End of the element whose start tag ends at ``pos``; ``pos`` itself if it is not closed."""
+    if tag in RAW:
+        end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, pos)
+        return end.end() if end else len(page)
+    depth = 1
+    for m in re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])[^>]*(/?)>", re.I).finditer(page, pos):
+        depth += -1 if m[1] else 0 if m[0].endswith("/>") else 1
+        if not depth:
+            return m.end()
+    return pos
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -106,14 +142,17 @@ def blocks_of(page: str) -> list[Block]:
     closed where an enclosing one closes, or at the end."""
     stack, out, parts = [_Open("", False, False)], [], []
     link, link_chars, pos = 0, 0, 0
+    comments, framed, elsewhere = 0, set(), False
 
     def flush():
-        nonlocal link, link_chars
+        nonlocal link, link_chars, elsewhere
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
             top = stack[-1]
             byline = top.article and any(x.tag == "header" for x in stack) and not any(x.tag in HEADINGS for x in stack)
-            out.append(Block(top.tag, text, link_chars, top.boilerplate or byline, top.article, top.named))
+            if top.tag in HEADINGS:
+                elsewhere = bool(ELSEWHERE.fullmatch(text))
+            out.append(Block(top.tag, text, link_chars, top.boilerplate or byline, top.article, top.named, top.comment, elsewhere))
         parts.clear()
         link, link_chars = 0, 0
 
@@ -139,9 +178,11 @@ def blocks_of(page: str) -> list[Block]:
             elif tag == "a":
                 link = 0
             continue
-        if tag in SKIPPED and not m[3].endswith("/"):
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, pos)
-            pos = end.end() if end else len(page)
+        if tag in SKIPPED and not (tag in ("svg", "math") and m[3].endswith("/")):
+            pos = _skip(page, tag, pos)
+            continue
+        if tag not in BLOCKS and tag not in VOID and ("hidden" in m[3] or "none" in m[3]) and _hidden(_attributes(m[3])):
+            pos = _skip(page, tag, pos)
             continue
         if tag == "br" or tag == "img":
             parts.append(" ")
@@ -159,36 +200,58 @@ def blocks_of(page: str) -> list[Block]:
         if tag in VOID:
             continue
         state, hidden = _opened(tag, m[3], stack[-1])
-        stack.append(_Open(tag, state.boilerplate or hidden, state.article, state.named))
+        if state.comment < 0:
+            comments += 1
+            state.comment = comments
+        if state.comment and tag in ("main", "h1"):
+            framed.add(state.comment)
+        stack.append(_Open(tag, state.boilerplate or hidden, state.article or tag == "main" and not (state.boilerplate or state.named),
+                           state.named, state.comment))
     text(len(page))
     flush()
+    for b in out:
+        if b.comment in framed:
+            b.comment = 0
     return out
 
 
-def _evidence(b: Block, framed: bool) -> int:
-    """Above zero for content, below for boilerplate; ``framed``: some article or main element holds text."""
-    words = _WORD.findall(b.text.lower())
-    n = len(words)
+def _words(text: str) -> tuple[list[str], int]:
+    """Words in lower case, and the length of a text in words."""
+    words = _WORD.findall(text.lower())
+    unspaced = len(_UNSPACED.findall(text))
+    return words, len(words) if not unspaced else len(_WORD.findall(_UNSPACED.sub(" ", text))) + unspaced // 2
+
+
+def _evidence(b: Block, framed: bool, known: bool) -> int:
+    """Above zero for content, below for boilerplate; ``framed``: some article or main element holds text; ``known``: the
+    page's language has stop words here."""
+    words, n = _words(b.text)
     links = min(1.0, b.link_chars / max(1, len(b.text)))
-    stops = sum(w in STOP_WORDS for w in words) / max(1, n)
+    prose = sum(w in STOP_WORDS for w in words) >= STOPS * max(1, len(words)) if known else bool(_SENTENCE.search(b.text))
     if b.named:
         place = -2 - (framed and not b.article)
     else:
         place = 2 if b.article else -(framed and n >= SHORT)
+    if b.elsewhere:
+        place -= 5
     if links > MANY_LINKS:
         return place - (2 if n < SHORT and b.tag != "li" or b.tag in HEADINGS else 3)
     if n >= LONG:
-        return place + (2 if stops >= STOPS or links <= SOME_LINKS and n >= 2 * LONG else -1)
-    return place + (n >= SHORT and stops >= STOPS and links <= SOME_LINKS and b.tag not in HEADINGS)
+        return place + (2 if prose or links <= SOME_LINKS and n >= 2 * LONG else -1)
+    return place + (n >= SHORT and prose and links <= SOME_LINKS and b.tag not in HEADINGS)
 
 
 def classify(blocks: list[Block]) -> None:
     """Both passes; sets ``good`` of every block."""
-    framed = any(b.article and not b.boilerplate for b in blocks)
+    framed = any(b.article and not (b.boilerplate or b.comment) for b in blocks)
+    words = [w for b in blocks if not b.boilerplate for w in _WORD.findall(b.text.lower())]
+    known = 20 * sum(w in STOP_WORDS for w in words) >= len(words)
+    rest = [b for b in blocks if not (b.boilerplate or b.comment)]
+    spared = any(b.comment for b in blocks) and not any(_evidence(b, framed, known) > 0 for b in rest)
     for b in blocks:
-        if b.boilerplate:
+        if b.boilerplate or b.comment and not spared:
             b.good = False
-        elif evidence := _evidence(b, framed):
+        elif evidence := _evidence(b, framed, known):
             b.good = evidence > 0
     before, last = [], None                 # nearest decided block to the left of each: (distance, class)
     for i, b in enumerate(blocks):
@@ -220,7 +283,8 @@ def main_text(page: str | None) -> str:
 
 def extract(pages: DataFrame, key: str = "page_id", source: str = "html", carry: tuple[str, ...] = ("url",)) -> DataFrame:
     """``key``, the columns ``carry``, ``text`` and ``n_chars`` of every row of
-    ``pages``.  Nulls are empty pages; equal rows are extracted alike."""
+    ``pages``.  Nulls are empty pages; equal rows are extracted alike; null keys are returned; an empty table gives no
+    rows; other columns are ignored, whatever their names."""
     schema = ", ".join([f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in (key, *carry)] + ["text string", "n_chars long"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
