@@ -36,7 +36,6 @@ _TABLE = {ord(a): b for a, b in (CYRILLIC | GREEK | DIGITS | _FULLWIDTH | {"l":
 _TABLE |= {ord(a): "i" for a, b in _FULLWIDTH.items() if b == "l"}
 _SIGN = re.compile(r"[@$](?=\w)|(?<=\w)!(?=\w)")
 _WORD = re.compile(r"[^\W_]+")
-_LAST = re.compile(r"[^\W_]+(?=[\W_]*$)")
 
 MIN_PREFIX, MAX_PREFIX = 4, 7
 CUT = 0.7
@@ -81,12 +80,22 @@ def hits(lexicon: Lexicon, automaton: ahocorasick.Automaton, folded: str) -> dic
     out = {}
     for start, weight in found.items():
         here = _WORD.match(folded, start)
-        before = _LAST.search(folded[max(0, start - 60):start])
-        after = _WORD.search(folded, here.end(), here.end() + 60)
-        out[start] = (weight, [f"{a[0]} {b[0]}" for a, b in ((before, here), (here, after)) if a and b])
+        before, after = _word_before(folded, start), _WORD.search(folded, here.end())
+        out[start] = (weight, [f"{before} {here[0]}"] * bool(before) + ([f"{here[0]} {after[0]}"] if after else []))
     return out
 
 
+def _word_before(folded: str, start: int) -> str:
+    """The last word that ends before ``start``; empty if there is none."""
+    end = start
+    while end and not folded[end - 1].isalnum():
+        end -= 1
+    begin = end
+    while begin and folded[begin - 1].isalnum():
+        begin -= 1
+    return folded[begin:end]
+
+
 def weight_per_100(lexicon: Lexicon, automaton: ahocorasick.Automaton, text: str | None) -> float:
     """Weight of the hits per 100 words (of 20 more words than the text has, so
     that one hit does not decide over a text of three words)."""
@@ -154,15 +163,14 @@ def _select(rows: list, n_pos: int, n_neg: int) -> tuple[dict[str, float], dict[
 SHARES = (0.02, 0.01, 0.005)
 
 
-def fit(train: DataFrame, fit_rows: int = 20_000, min_texts: int = 4, min_weight: float = 3.0,
-        max_terms: int = 5_000, key: str = "doc_id") -> Lexicon:
+def fit(train: DataFrame, fit_rows: int = 20_000, min_texts: int = 4, min_weight: float = 3.0, key: str = "doc_id") -> Lexicon:
     """Learn a lexicon from ``train(key, text, toxic)``.
 
     At most about ``fit_rows`` labelled rows are used (chosen by a hash of the
     key).  Entries are words and beginnings whose log odds reach ``min_weight`` in
     at least a share of the toxic texts; a quarter of the rows is held back to
-    choose that share from ``SHARES``.  The ``max_terms`` most frequent candidates
-    come to the driver.  An exception is a phrase around an entry found in three
+    choose that share from ``SHARES`` (the greatest of equally good ones).  All candidates come to the driver: each is in
+    at least the least share of the toxic texts of the bounded rows.  An exception is a phrase around an entry found in three
     or more clean texts and not more often in toxic ones.  Rows with a null
     text or label teach nothing; without toxic rows the lexicon is empty.
     """
@@ -174,13 +182,13 @@ def fit(train: DataFrame, fit_rows: int = 20_000, min_texts: int = 4, min_weight
         train = train.where(chosen < int(1e6 * fit_rows / total))
     train = stored(train, "toxicity-fit")
     held = F.pmod(F.xxhash64(F.lit("held"), F.col("key")), F.lit(4)) == 0
-    tried = _lexicons(train.where(~held), SHARES, min_texts, min_weight, max_terms)
+    tried = _lexicons(train.where(~held), SHARES, min_texts, min_weight)
     errors = [_errors(train.where(held), lexicon) for lexicon in tried]
     share = SHARES[errors.index(min(errors))]
-    return _lexicons(train, (share,), min_texts, min_weight, max_terms)[0]
+    return _lexicons(train, (share,), min_texts, min_weight)[0]
 
 
-def _lexicons(train: DataFrame, shares: tuple[float, ...], min_texts: int, min_weight: float, max_terms: int) -> list[Lexicon]:
+def _lexicons(train: DataFrame, shares: tuple[float, ...], min_texts: int, min_weight: float) -> list[Lexicon]:
     """One fitted lexicon for each least share."""
     n = {r["toxic"]: r["count"] for r in train.groupBy("toxic").count().collect()}
     n_pos, n_neg = n.get(1, 0), n.get(0, 0)
@@ -188,7 +196,7 @@ def _lexicons(train: DataFrame, shares: tuple[float, ...], min_texts: int, min_w
         return [Lexicon() for _ in shares]
     odds = F.log((F.col("pos") + .5) / (n_pos + 1)) - F.log((F.col("neg") + .5) / (n_neg + 1))
     rows = (_count(train, _features).where(F.col("pos") >= max(min_texts, min(shares) * n_pos)).where(odds >= min_weight)
-            .orderBy(F.desc("pos"), "item").limit(max_terms).collect())
+            .orderBy(F.desc("pos"), "item").collect())
     out = []
     for share in shares:
         entries = Lexicon(*_select([r for r in rows if r["pos"] >= share * n_pos], n_pos, n_neg))
@@ -204,7 +212,7 @@ def _lexicons(train: DataFrame, shares: tuple[float, ...], min_texts: int, min_w
             return {p for _, around in hits(entries, automaton, fold(text)).values() for p in around}
 
         found = (_count(train, phrases).where((F.col("neg") >= 3) & (F.col("neg") * n_pos >= F.col("pos") * n_neg))
-                 .orderBy(F.desc("neg"), "item").limit(max_terms).collect())
+                 .orderBy(F.desc("neg"), "item").collect())
         lexicon = Lexicon(entries.words, entries.prefixes, frozenset(r["item"] for r in found))
         lexicon.scale = _scale(train, lexicon)
         out.append(lexicon)
@@ -233,7 +241,7 @@ def _scale(train: DataFrame, lexicon: Lexicon) -> float:
 
 def weights(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     """``key`` and ``x`` (weight per 100 words) for every row of ``docs(key, text)``."""
-    shared = docs.sparkSession.sparkContext.broadcast(astuple(lexicon))      # at most max_terms entries
+    shared = docs.sparkSession.sparkContext.broadcast(astuple(lexicon))      # learnt from bounded rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lex = Lexicon(*shared.value)
@@ -249,7 +257,8 @@ def weights(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
 def score(docs: DataFrame, lexicon: Lexicon, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, ``score`` (0 to 1) and ``predicted`` (1 from 0.7 on) for every row.
 
-    Null and empty texts score 0; equal rows score alike.
+    Null and empty texts score 0; equal rows score alike; null keys are returned; an empty table gives no rows; other
+    columns are ignored, whatever their names.  Whole texts are scored, however long.
     """
     x = weights(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), lexicon)
     s = F.col("x") / (F.col("x") + F.lit(lexicon.scale * (1 - CUT) / CUT))
