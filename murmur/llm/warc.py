@@ -13,6 +13,7 @@ right after it, and owns the records that start inside its range.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import uuid
 import zlib
@@ -29,6 +30,7 @@ MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1."
 MIN_REVISIT = 100               # payload bytes from which copies become revisits
 SPLIT = 16 << 20
+MAX_TASKS = 100_000              # of a reading stage; each takes several ranges beyond
 CHUNK = 1 << 20
 HEAD = 1 << 14                  # compressed bytes that a candidate's header is sought in
 
@@ -185,16 +187,30 @@ def parse(text: bytes) -> dict:
     lines = head.decode("utf-8").split("\r\n")
     out = {k.lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
     body = block[:int(out["content-length"])]
-    out["payload"] = body.partition(b"\r\n\r\n")[2]
+    http = out.get("content-type", "").startswith("application/http")
+    out["payload"] = body.partition(b"\r\n\r\n")[2] if http else body
     return out
 
 
+def agrees(digest: str | None, payload: bytes) -> bool:
+    """Whether a payload has its header's digest (``algorithm:value``, hexadecimal or base 32); unknown ones pass."""
+    algorithm, _, value = (digest or "").partition(":")
+    if algorithm.lower() not in ("sha1", "sha256", "md5"):
+        return True
+    got = hashlib.new(algorithm.lower(), payload).digest()
+    return value.lower() == got.hex() or value.rstrip("=").upper() == base64.b32encode(got).decode().rstrip("=")
+
+
 def read(manifest: DataFrame, split: int = SPLIT) -> DataFrame:
-    """Records of the archives in ``manifest``: ``page``, ``url``, ``payload_bytes``, ``payload_digest``,
+    """Records of the archives in ``manifest(path, bytes)``: ``page``, ``url``, ``payload_bytes``, ``payload_digest``,
     ``record_type``, ``refers_to`` and ``payload`` (null for a revisit).
 
-    Length and digest of a response are taken from its payload, which must
-    agree with its header; a revisit has those of the payload it refers to.
+    Any archive of gzip members can be read, with records of any type; those without an HTTP block have the whole block
+    as payload.  Length and SHA-256 are taken from the payload, which must agree with the digest and length of its
+    header, if any; a revisit has those of its header (a digest by another algorithm with its name, no length if none is
+    given).  ``page`` and ``refers_to`` are record ids without brackets and, for our own archives, without prefix.
+
+    Ranges of ``split`` bytes are dealt evenly over as many partitions as there are ranges; an empty manifest gives no rows.
     """
     schema = ("page string, url string, payload_bytes long, payload_digest string, record_type string, "
               "refers_to string, payload binary")
@@ -203,13 +219,16 @@ def read(manifest: DataFrame, split: int = SPLIT) -> DataFrame:
 
     def row(text: bytes) -> dict:
         r = parse(text)
-        digest, size = r["warc-payload-digest"].removeprefix("sha256:"), int(r["x-payload-length"])
-        kind = r["warc-type"]
-        if kind == "response" and (hashlib.sha256(r["payload"]).hexdigest() != digest or len(r["payload"]) != size):
-            raise ValueError(f"payload of {r['warc-record-id']} does not match its header")
-        name = lambda x: x.removeprefix("<urn:page:").removesuffix(">") if x else None
-        return {"page": name(r["warc-record-id"]), "url": r.get("warc-target-uri"), "payload_bytes": size, "payload_digest": digest,
-                "record_type": kind, "refers_to": name(r.get("warc-refers-to")), "payload": r["payload"] if kind == "response" else None}
+        digest, size, kind = r.get("warc-payload-digest"), r.get("x-payload-length"), r.get("warc-type")
+        name = lambda x: x.strip("<>").removeprefix("urn:page:") if x else None
+        out = {"page": name(r.get("warc-record-id")), "url": r.get("warc-target-uri"), "record_type": kind, "refers_to": name(r.get("warc-refers-to"))}
+        if kind == "revisit":
+            return out | {"payload_bytes": None if size is None else int(size), "payload": None,
+                          "payload_digest": digest and digest.removeprefix("sha256:")}
+        payload = r["payload"]
+        if not agrees(digest, payload) or size is not None and len(payload) != int(size):
+            raise ValueError(f"payload of {r.get('warc-record-id')} does not match its header")
+        return out | {"payload_bytes": len(payload), "payload": payload, "payload_digest": hashlib.sha256(payload).hexdigest()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -226,9 +245,10 @@ def read(manifest: DataFrame, split: int = SPLIT) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
-    ranges = (manifest.where("bytes > 0").select("path", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split).cast("long"))).alias("start"))
-              .repartition("path", "start"))
-    return ranges.mapInArrow(run, schema)
+    ranges = manifest.where("bytes > 0").select("path", "bytes", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split).cast("long"))).alias("start"))
+    # By number: a range is a few bytes here, so that adaptive execution would read all archives in one task.
+    return ranges.repartition(max(1, min(ranges.count(), MAX_TASKS))).mapInArrow(run, schema)
 
 
 def archive_and_read(pages: DataFrame, key: str = "page_id", payload: str = "html") -> DataFrame:

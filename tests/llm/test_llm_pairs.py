@@ -254,6 +254,42 @@ def test_warc_frames(spark):
     assert warc.archive_and_read(pages.limit(0)).count() == 0
 
 
+def test_archives_are_read_by_a_task_for_each_range(spark):
+    pages = spark.createDataFrame([(i, "u", os.urandom(3000).hex()) for i in range(40)], "page_id long, url string, html string")
+    from murmur.session import scratch_path
+    manifest = warc.write(pages, f"file://{scratch_path(spark, 'warc-test')}")
+    out = warc.read(manifest, split=8192)
+    size = manifest.agg(F.sum(F.ceil(F.col("bytes") / 8192))).first()[0]
+    assert size > 8 and out.rdd.getNumPartitions() == size
+    assert out.select("page").distinct().count() == out.count() == 40
+
+
+def test_archives_of_other_writers(spark, tmp_path):
+    import base64
+    import gzip
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"
+    page = b"<html>hello</html>" * 10
+    sha1 = "sha1:" + base64.b32encode(hashlib.sha1(page).digest()).decode()
+
+    def rec(kind, name, body, *extra):
+        head = ["WARC/1.0", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{name}>", *extra, f"Content-Length: {len(body)}"]
+        return gzip.compress("\r\n".join(head).encode() + b"\r\n\r\n" + body + b"\r\n\r\n")
+
+    web = "Content-Type: application/http;msgtype=response"
+    parts = [rec("warcinfo", "i", b"software: x\r\n", "Content-Type: application/warc-fields"), rec("request", "q", b"GET / HTTP/1.1\r\n\r\n", web),
+             rec("response", "r", http + page, web, f"WARC-Payload-Digest: {sha1}", "WARC-Target-URI: http://a/"),
+             rec("revisit", "v", http, web, f"WARC-Payload-Digest: {sha1}", "WARC-Refers-To: <urn:uuid:r>"), rec("conversion", "c", b"hello")]
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(parts))
+    manifest = spark.createDataFrame([(f"file://{tmp_path}/a.warc.gz", len(b"".join(parts)))], "path string, bytes long")
+    got = {r.page: (r.record_type, r.payload_bytes, r.payload_digest, r.refers_to, r.url) for r in warc.read(manifest, split=100).collect()}
+    sha = lambda x: hashlib.sha256(x).hexdigest()
+    assert got == {"urn:uuid:i": ("warcinfo", 13, sha(b"software: x\r\n"), None, None), "urn:uuid:q": ("request", 0, sha(b""), None, None),
+                   "urn:uuid:r": ("response", 180, sha(page), None, "http://a/"), "urn:uuid:v": ("revisit", None, sha1, "urn:uuid:r", None),
+                   "urn:uuid:c": ("conversion", 5, sha(b"hello"), None, None)}
+    wrong = rec("response", "r", http + page + b"x", web, f"WARC-Payload-Digest: {sha1}")
+    assert not warc.agrees(sha1, page + b"x") and warc.agrees(None, page) and wrong
+
+
 # -- chat
 
 def test_chat_digests_equal_the_conversations(spark):

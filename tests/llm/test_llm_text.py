@@ -67,6 +67,63 @@ def test_html_densities_decide_on_framed_pages_too():
     assert html_text.main_text(page) == f"{long}\n{long}"
 
 
+LONG_EN = "the dog and the cat were on the way to the town and they had a good time at the party that was in the town"
+
+
+@pytest.mark.parametrize("start, end", [
+    ("<body class='single comments-open'>", "</body>"), ("<div class='wrap comments-enabled'>", "</div>"),
+    ("<div class='wrap comments-enabled'><article>", "</article></div>"), ("<article class='post responses-open'>", "</article>"),
+    ("<div id=discussion-page><h1>T</h1>", "</div>")])
+def test_html_names_of_comments_are_no_verdict(start, end):
+    got = html_text.main_text(f"{start}<p>{LONG_EN}</p><p>{LONG_EN}</p>{end}")
+    assert got.removeprefix("T\n") == f"{LONG_EN}\n{LONG_EN}"
+    reader = f"<div class=comments><div class=comment><p>{LONG_EN}</p></div></div>"
+    assert html_text.main_text(f"<div><p>{LONG_EN} x</p><p>{LONG_EN}</p></div>{reader}") == f"{LONG_EN} x\n{LONG_EN}"
+    assert html_text.main_text(f"<article><p>{LONG_EN} x</p></article><ol class=comment-list><li><article class=comment-body><p>{LONG_EN}</p>"
+                               "</article></ol>") == f"{LONG_EN} x"
+
+
+def test_html_languages_without_stop_words_here():
+    ru = "Сегодня утром жители города вышли на площадь, чтобы увидеть открытие нового моста через широкую реку, который строили почти десять лет подряд и никак не могли закончить вовремя."
+    zh = "今天早上，市民们来到广场，观看横跨大河的新桥的开通仪式。这座桥建了将近十年，一直没有按时完工，大家都在等待。"
+    links = "".join(f"<li><a href=x>{w}</a></li>" for w in ("Новости", "Спорт", "首页", "体育"))
+    for text in (ru, zh):
+        page = f"<ul>{links}</ul><div><p>{text}</p><p>{text}</p></div><ul>{links}</ul>"
+        assert html_text.main_text(page) == f"{text}\n{text}"
+
+
+@pytest.mark.parametrize("inside, text", [
+    ("<script src=x /> var a='JS';</script><p>a</p>", "a"), ("<span style='display:none'>SECRET</span><p>a</p>", "a"),
+    ("<p>a <i hidden>b<i>c</i></i>d</p>", "a d"), ("<svg><svg><text>x</text></svg><text>y</text></svg><p>a</p>", "a"),
+    ("<svg/><p>a</p>", "a"), ("<p>none <span class=hidden-line>b</span></p>", "none b")])
+def test_html_hidden_content(inside, text):
+    assert html_text.main_text(f"<article>{inside}</article>") == text
+
+
+@pytest.mark.parametrize("tag", ["button", "select", "object", "canvas", "noscript"])
+def test_html_unclosed_elements_swallow_nothing(tag):
+    got = html_text.main_text(f"<div><{tag}>x<p>{LONG_EN}</p><p>{LONG_EN}</p></div>")
+    assert got.endswith(f"{LONG_EN}\n{LONG_EN}")
+    assert html_text.main_text(f"<div><p>{LONG_EN}</p><{tag}>x<b>y</b></{tag}><p>{LONG_EN}</p></div>") == f"{LONG_EN}\n{LONG_EN}"
+
+
+def test_html_lists_of_other_pages_are_left_out():
+    page = f"<div><h1>T</h1><p>{LONG_EN}</p><h3>You may also like</h3><p>{LONG_EN} teaser</p></div>"
+    assert html_text.main_text(page) == f"T\n{LONG_EN}"
+
+
+def test_html_pages_without_article_elements(spark):
+    """The given pages with ``div`` for ``article``: densities and names alone, by blocks."""
+    right = found = wanted = 0
+    for page in spark.read.parquet(f"{SF001}/pages.parquet").collect():
+        want = Counter(html_text.main_text(page.html).split("\n"))
+        got = Counter(html_text.main_text(page.html.replace("<article>", "<div>").replace("</article>", "</div>")).split("\n"))
+        right += (want & got).total()
+        found += got.total()
+        wanted += want.total()
+    assert right / found > 0.9 and right / wanted > 0.9, (right / found, right / wanted)
+
+
 def test_html_long_page_and_frame_edges(spark):
     body = "".join(f"<p>w{i} &amp; x</p>" for i in range(20_000))
     assert html_text.main_text(f"<article>{body}</article>").count("\n") == 19_999
@@ -93,10 +150,30 @@ def test_toxicity_folding_prefixes_and_exceptions():
     assert toxicity.weight_per_100(lex, a, "scum idiots") == pytest.approx(600 / 22)
     assert toxicity.weight_per_100(lex, a, "Pond\n scum") == 0
     assert toxicity.weight_per_100(lex, a, "scums unscum xidiot") == 0
+    assert toxicity.weight_per_100(lex, a, "pond" + " " * 5000 + "scum") == 0
+    far = toxicity.Lexicon({"scum": 4.0}, {}, frozenset({"p" * 300 + " scum", "scum " + "q" * 300}), 1.0)
+    for text, weight in (("p" * 300 + " scum", 0), ("p" * 299 + " scum", 4), ("scum\n" + "q" * 300, 0), ("scum " + "q" * 301, 4)):
+        assert toxicity.weight_per_100(far, a, text) == pytest.approx(100 * weight / 22)
     assert toxicity.weight_per_100(lex, a, None) == toxicity.weight_per_100(lex, a, "") == 0
     assert toxicity.score_of(lex, 0) == 0 and toxicity.score_of(lex, 1.0) == pytest.approx(0.7)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["scum", "scums", "idiots", "pond", "x", "Pond", "\u0455cum", "-", "_", "  ", "\n"]), max_size=12),
+       st.sampled_from([" ", "", "."]))
+def test_toxicity_hits_equal_a_naive_matcher(parts, gap):
+    lex = toxicity.Lexicon({"scum": 4.0, "pond": 1.0}, {"idio": 2.0, "scu": 1.5}, frozenset({"pond scum", "scum x"}), 1.0)
+    text = gap.join(parts)
+    words = re.findall(r"[^\W_]+", toxicity.fold(text))
+    total = 0.0
+    for i, w in enumerate(words):
+        weight = max([lex.words.get(w, 0.0)] + [v for p, v in lex.prefixes.items() if w.startswith(p)])
+        around = {f"{a} {b}" for a, b in zip(words[max(0, i - 1):i + 1], words[max(0, i - 1) + 1:i + 2])}
+        total += 0 if around & lex.exceptions else weight
+    want = 100 * total / (len(text.split()) + 20)
+    assert toxicity.weight_per_100(lex, lex.automaton(), text) == pytest.approx(want)
+
+
 def test_toxicity_learns_words_beginnings_and_exceptions(spark):
     rng = random.Random(3)
     plain = [f"word{i}" for i in range(200)]
