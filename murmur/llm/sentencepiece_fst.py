@@ -37,7 +37,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 INFINITY = float("inf")
 #: Parts whose paths a worker keeps (some 200 bytes each) before it starts anew.
-KEEP = 400_000
+KEEP = 250_000
 #: Characters of texts that are encoded at once.
 BLOCK_CHARS = 2_000_000
 #: Longer parts are composed one by one: a step over the block would serve few parts.
