@@ -33,7 +33,8 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
 def compact_day(spark: SparkSession, landing: str, target: str, day: str) -> None:
     """Fold one day of micro-batch partitions into the ``dt``-partitioned table
     (dynamic overwrite of that day only; a rerun gives the same files)."""
-    d = read_landing(spark, landing).where(F.col("dt") == F.lit(day))
+    day_rows = spark.read.parquet(landing).where(F.col("dt") == F.lit(day))         # before the dedup: one day is read
+    d = latest_per_key(day_rows, ["dt", "id"], "batch_id").drop("batch_id")
     d.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(target)
 
 
