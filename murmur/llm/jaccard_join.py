@@ -35,7 +35,7 @@ SHINGLE = 4
 GROWTH = 1.384                  # upper over lower size of a band
 SUBSETS_UP_TO = 256             # bands of sets up to this size enumerate subsets (more signatures, fewer candidates)
 SKETCH_BITS = 1024              # of the short sketch; that of a set has at least one for each member
-MINOR_BLOCK, OTHER_BLOCK = 256, 4096
+MINOR_BLOCK, OTHER_BLOCK = 4096, 4096
 SPARE_DEVIATIONS = 4            # empty partitions are allowed for up to their mean and so many standard deviations
 
 
