@@ -52,8 +52,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
     (equal rows) and ``text_hash``.
 
     A null text has no words; an empty benchmark hits nothing; equal rows are
-    counted in ``copies``; a null item id counts as an item named null that no
-    list shows.
+    counted in ``copies``; a null item id hits words, but is in no list of items;
+    an empty table gives no rows; other columns are ignored, whatever their names.
     """
     grams = benchmark_windows(benchmark, n, item, item_text)
     lengths = sorted(r[0] for r in grams.select("len").distinct().collect())     # at most n values

@@ -387,7 +387,8 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: in
 
     Empty and null texts are linked with nothing (their component is their own
     key).  Equal rows share a component.  A null key takes part in links but is
-    never the least; a component of null keys only has a null id.
+    never the least; a component of null keys only has a null id.  An empty table
+    gives no rows; other columns are ignored, whatever their names.
     """
     rows = linked_rows(docs, key, text, threshold, k)
     least = (rows.where("n > 0").groupBy("comp").agg(F.min("id").alias("least"), F.count("*").alias("members"))

@@ -114,7 +114,8 @@ def identify(docs: DataFrame, model: dict, key: str = "doc_id", text: str = "tex
     """``key``, ``lang_pred`` and ``score`` (0 to 1) for every row of ``docs``.
 
     A null text, one without a letter, or a model that learnt nothing gives
-    ``und`` with score 0.  Equal rows are predicted alike, each on its own.
+    ``und`` with score 0.  Equal rows are predicted alike, each on its own; null keys
+    are returned; an empty table gives no rows; other columns are ignored, whatever their names.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

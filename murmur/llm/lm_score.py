@@ -216,7 +216,8 @@ def losses(texts: list[str | None], grams: np.ndarray, loss: np.ndarray) -> tupl
 def score(docs: DataFrame, model: dict, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, ``n_tokens``, ``target_loss``, ``background_loss`` (nats a token) and ``score`` of every row.
 
-    Null, empty and blank texts have no tokens, and nulls for the rest.  Equal rows score alike.
+    Null, empty and blank texts have no tokens, and nulls for the rest.  Equal rows score alike; null keys are returned;
+    an empty table gives no rows; other columns are ignored, whatever their names.
     """
     orders, kind = model["orders"], docs.schema[key].dataType.simpleString()
     blocks = stored(_blocks(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), kind), "lm-blocks")
