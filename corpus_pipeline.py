@@ -53,6 +53,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of the documents that all stages keep.
+
+    Null and empty texts pass the toxicity stage and fall to the quality stage; of equal rows one stays; null ids are kept
+    as they are; an empty table gives no rows; extra columns travel with their rows until the last stage.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
