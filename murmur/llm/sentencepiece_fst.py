@@ -39,7 +39,9 @@ INFINITY = float("inf")
 #: Parts whose paths a worker keeps (some 200 bytes each) before it starts anew.
 KEEP = 250_000
 #: Characters of texts that are encoded at once.
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS = 400_000
+#: Characters of new parts that are composed at once (some 300 bytes each for a moment).
+COMPOSE_CHARS = 100_000
 #: Longer parts are composed one by one: a step over the block would serve few parts.
 LONG = 200
 CHAR_BITS = 21                  # code points
@@ -364,16 +366,20 @@ class Transducer:
     def _learn(self, parts: list[str]) -> None:
         """Add parts with their paths to the known ones."""
         short = [p for p in parts if len(p) <= LONG]
-        labels, counts = self.best_paths(short) if short else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        paths = [labels]
-        if len(labels) and labels.max() >= self.size:
-            spelt = [self.spell(x.tolist()) for x in np.split(labels, np.cumsum(counts)[:-1])]
-            paths, counts = [list(chain.from_iterable(spelt))], np.array([len(x) for x in spelt])
+        paths, sizes = [], []
+        for a, b in slices(short, COMPOSE_CHARS):
+            labels, counts = self.best_paths(short[a:b])
+            if len(labels) and labels.max() >= self.size:
+                spelt = [self.spell(x.tolist()) for x in np.split(labels, np.cumsum(counts)[:-1])]
+                labels, counts = list(chain.from_iterable(spelt)), np.array([len(x) for x in spelt])
+            paths.append(np.asarray(labels, dtype=np.int32))
+            sizes.append(counts)
         for p in parts:
             if len(p) > LONG:
                 short.append(p)
                 paths.append(self.spell(self.best_path(p)))
-                counts = np.append(counts, len(paths[-1]))
+                sizes.append(np.array([len(paths[-1])]))
+        counts = np.concatenate(sizes)
         flat = np.concatenate([np.asarray(x, dtype=np.int32) for x in paths])
         ends = np.cumsum(counts)
         good = self._decode_alike(short, flat, counts)
