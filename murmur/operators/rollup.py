@@ -56,11 +56,11 @@ def daily_rollup(posts: DataFrame, sets=ROLLUP_SETS) -> DataFrame:
     return out.withColumn("grouping_set", name).drop("_gid")
 
 
-def refresh_rollup(spark, posts: DataFrame, path: str, days: list[str] | None = None) -> None:
-    """Recompute the rollup of ``days`` (all days when None) and overwrite just
+def refresh_rollup(spark, posts: DataFrame, path: str, days: list[str] | None = None, build=daily_rollup) -> None:
+    """Recompute the rollup of ``days`` (all days when None) by ``build`` and overwrite just
     those ``dt`` partitions (dynamic partition overwrite)."""
     src = posts if days is None else posts.where(F.col("dt").isin(*days))
-    (daily_rollup(src).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (build(src).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("dt").parquet(path))
 
 
@@ -70,7 +70,7 @@ def day_marks(posts: DataFrame) -> DataFrame:
     return posts.groupBy("dt").agg(F.count(F.lit(1)).alias("n"), F.sum(row).alias("h"))
 
 
-def refresh_changed(spark, posts: DataFrame, path: str) -> list[str]:
+def refresh_changed(spark, posts: DataFrame, path: str, build=daily_rollup) -> list[str]:
     """Refresh the rollup of exactly the days whose rows changed since the last
     call (new, late, updated or removed rows; a day left without rows keeps an empty
     rollup); returns them.  The marks of the days are kept beside the rollup and
@@ -83,7 +83,7 @@ def refresh_changed(spark, posts: DataFrame, path: str) -> list[str]:
     if days:
         gone = {r[0] for r in old.select("dt").join(marks, "dt", "left_anti").collect()}
         if left := [d for d in days if d not in gone]:
-            refresh_rollup(spark, posts, path, days=left)
+            refresh_rollup(spark, posts, path, days=left, build=build)
         for d in gone:
             hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/dt={d}")
             hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from murmur.operators import rollup as RU
+from murmur.operators import rollup as RU, sketches as SK
 from murmur.plans.oracle import sround, with_posts
 from murmur.plans.registry import register
 from murmur.sources.posts_view import posts_view
@@ -66,3 +66,44 @@ def _late_rows(s, d):
 
 
 register("rollup_late_rows", with_posts('SELECT label, count(*) AS "count" FROM posts GROUP BY label', V))(_late_rows)
+
+# --- sketches merged over days (AG20, AG24) -------------------------------------------------------
+
+AUTH = ("user_authentication",)
+MILLE = (500, 900, 990)
+
+
+def _distinct_users(s, d):
+    """Users of the last seven days: one merge of seven stored sketches, beside the exact count."""
+    posts = posts_view(s, d, vocab=V)
+    keys = ("dt", *AUTH)
+    found = SK.merged_users(SK.over_last_days(SK.daily_sketches(posts, AUTH, "attitudes_count"), 7), keys)
+    exact = (SK.over_last_days(posts.select(*keys, "user_id").distinct(), 7)
+             .groupBy(*keys).agg(F.count_distinct("user_id").alias("exact_users")))
+    near = F.abs(F.col("users") - F.col("exact_users")) <= F.col("exact_users") * F.lit(SK.USERS_BOUND) + F.lit(0.5)
+    return (found.join(exact, [found[k].eqNullSafe(exact[k]) for k in keys])
+            .select(*[found[k] for k in keys], "exact_users", near.alias("within_bound")))
+
+
+register("rollup_distinct_users", with_posts("""SELECT t.dt, u.user_authentication, count(DISTINCT u.user_id) AS exact_users, TRUE AS within_bound
+FROM (SELECT DISTINCT dt, user_authentication, user_id FROM posts) u
+JOIN (SELECT strftime(day, '%Y-%m-%d') AS dt, CAST(day AS DATE) AS day
+      FROM (SELECT unnest(generate_series(CAST(min(dt) AS DATE), CAST(max(dt) AS DATE), INTERVAL 1 DAY)) AS day FROM posts) x) t
+  ON CAST(u.dt AS DATE) BETWEEN t.day - 6 AND t.day
+GROUP BY t.dt, u.user_authentication""", V))(_distinct_users)
+
+
+def _quantiles(s, d):
+    posts = posts_view(s, d, vocab=V)
+    out = SK.exact_quantiles(posts, SK.daily_sketches(posts, ("label",), "attitudes_count"), ("label",), "attitudes_count", MILLE)
+    near = F.abs(F.col("quantile") - F.col("exact")) <= F.abs("exact") * F.lit(SK.ALPHA + 1e-9)
+    return out.select("label", "mille", F.round("quantile", 6).alias("quantile"), "exact", near.alias("within_bound"))
+
+
+_middle = f"2 / ({SK.GAMMA!r} + 1) * pow({SK.GAMMA!r}, ceil(ln(abs(v)) / {SK.LN_GAMMA!r}))"
+register("rollup_quantiles", with_posts(f"""SELECT label, mille, CASE WHEN v = 0 THEN 0.0 ELSE sign(v) * {sround(_middle, 6)} END AS quantile,
+  v AS exact, TRUE AS within_bound
+FROM (SELECT label, attitudes_count AS v, row_number() OVER (PARTITION BY label ORDER BY attitudes_count) AS i,
+             count(*) OVER (PARTITION BY label) AS n FROM posts WHERE attitudes_count IS NOT NULL) r,
+     (VALUES {", ".join(f"({m})" for m in MILLE)}) m(mille)
+WHERE i = greatest(1, (mille * n + 999) // 1000)""", V))(_quantiles)

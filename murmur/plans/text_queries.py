@@ -11,10 +11,11 @@ from murmur.operators import forecast as FC
 from murmur.operators import keywords as KW
 from murmur.operators import scoring as SC
 from murmur.operators import spam as SP
+from murmur.operators import term_table as TT
 from murmur.plans.oracle import SCORED, q, sround, with_posts
 from murmur.plans.registry import register
-from murmur.sources.posts_view import posts_view, posts_with_text, raw_messages, sentiment_table
-from murmur.sources.tables import table
+from murmur.sources.posts_view import posts_view, posts_with_text, raw_messages, sentiment_table, with_doc_id
+from murmur.sources.tables import ensure_parallelism, table
 from murmur.vocab import FIXTURE as V
 
 AS_OF = "2024-01-31"
@@ -270,3 +271,46 @@ def _embedding_clusters(s, d):
 
 register("topic_clusters")(_topic_clusters)
 register("embedding_clusters")(_embedding_clusters)
+
+# --- a table of terms (DOC3, PRJ3, ML2): ten phrases of one to five words of every document ------------
+
+PHRASES = 10
+
+
+def _phrases(docs):
+    w = docs.select("doc_id", TT.words(F.col("text")).alias("w")).where(F.size("w") > 0)
+    cuts = F.transform(F.sequence(F.lit(0), F.lit(PHRASES - 1)), lambda j: F.array_join(F.slice(
+        "w", ((F.col("doc_id") * 31 + j * 17) % F.size("w") + 1).cast("int"), (1 + (F.col("doc_id") + j) % 5).cast("int")), " "))
+    return w.select(F.explode(cuts).alias("term")).distinct()
+
+
+def _doc_term_hits(s, d):
+    docs = ensure_parallelism(table(s, d, "documents").select("doc_id", "text"))
+    return TT.term_hits(docs, _phrases(docs), id_col="doc_id")
+
+
+def _term_table_trend(s, d):
+    """Each document is searched once; a day's hits are those of its documents times their posts."""
+    posts = with_doc_id(s, d, posts_view(s, d, vocab=V).select("id", "dt"))
+    days = posts.groupBy("dt", "doc_id").agg(F.count(F.lit(1)).alias("posts"))
+    hits = _doc_term_hits(s, d).withColumnRenamed("id", "doc_id")
+    return days.join(hits, "doc_id").groupBy("dt", "term").agg(F.sum(F.col("posts") * F.col("n")).alias("hits"))
+
+
+_phrase_ctes = f"""words AS MATERIALIZED (SELECT doc_id, regexp_extract_all(text, {q(WORD)}) AS w FROM documents),
+terms AS MATERIALIZED (
+  SELECT DISTINCT array_to_string(list_slice(w, p + 1, p + k), ' ') AS term
+  FROM (SELECT w, (doc_id * 31 + j * 17) % len(w) AS p, 1 + (doc_id + j) % 5 AS k FROM words, range({PHRASES}) r(j) WHERE len(w) > 0) c),
+places AS (SELECT doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM words),
+runs AS (SELECT doc_id, w AS a, lead(w, 1) OVER o AS b, lead(w, 2) OVER o AS c, lead(w, 3) OVER o AS d, lead(w, 4) OVER o AS e
+         FROM places WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+grams AS (SELECT doc_id, unnest([a, a || ' ' || b, a || ' ' || b || ' ' || c, a || ' ' || b || ' ' || c || ' ' || d,
+                                 a || ' ' || b || ' ' || c || ' ' || d || ' ' || e]) AS term FROM runs),
+hits AS MATERIALIZED (SELECT doc_id, term, count(*) AS n FROM grams JOIN terms USING (term) GROUP BY doc_id, term)"""
+
+register("term_hits", f"""WITH {_phrase_ctes}
+SELECT term, count(*) AS n_texts, CAST(sum(n) AS BIGINT) AS n_hits FROM hits GROUP BY term""")(
+    lambda s, d: TT.term_totals(_doc_term_hits(s, d)))
+register("term_table_trend", with_posts("""SELECT dt, term, CAST(sum(p.posts * h.n) AS BIGINT) AS hits
+FROM (SELECT dt, CAST(id AS BIGINT) % (SELECT count(*) FROM documents) AS doc_id, count(*) AS posts FROM posts GROUP BY ALL) p
+JOIN hits h USING (doc_id) GROUP BY dt, term""", V, extra_ctes=_phrase_ctes))(_term_table_trend)
