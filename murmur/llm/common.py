@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from murmur.session import scratch_path
@@ -58,17 +62,35 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def worker_state(name: str, build: Callable[[], object]):
-    """State that lives as long as a (reused) Python worker process.
+    """State that lives as long as a (reused) Python worker process works for one operator.
 
     Functions are shipped by value, so their module globals start afresh with
-    each task; what is costly to build is kept here instead.
+    each task; what is costly to build is kept here instead.  The first word of ``name``
+    is the operator.
     """
     states = sys.__dict__.setdefault("_murmur_worker_state", {})
     if name not in states:
+        if TaskContext.get():
+            only_state_of(name.split()[0])
         states[name] = build()
     return states[name]
 
 
+def only_state_of(operator: str) -> None:
+    """Drop the state that tasks of other operators left in this worker, so that the stages of a pipeline do not add up
+    in the workers they share, and return freed memory to the system where the C library can."""
+    states = sys.__dict__.setdefault("_murmur_worker_state", {})
+    others = [name for name in states if name.split()[0] != operator]
+    if not others:
+        return
+    for name in others:
+        del states[name]
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def slices(texts: list, limit: int) -> Iterator[tuple[int, int]]:
     """Cut a list of texts into runs of at most ``limit`` characters (one text
     at least), which bounds the size of arrays made from a run."""

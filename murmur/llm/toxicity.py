@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from murmur.llm.common import sized_join, stored, worker_state
+from murmur.llm.common import only_state_of, sized_join, stored, worker_state
 
 # Look-alikes and substitutions, each with the letter it stands for.
 CYRILLIC = {"а": "a", "в": "b", "е": "e", "ё": "e", "к": "k", "м": "m", "н": "h", "о": "o", "р": "p", "с": "c",
@@ -121,6 +121,7 @@ def _count(train: DataFrame, of) -> DataFrame:
     """Texts of each label that have each item of ``of(text)``: item, pos, neg."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_state_of("toxicity")
         sums = (Counter(), Counter())
 
         def flush():
@@ -244,6 +245,7 @@ def weights(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(astuple(lexicon))      # learnt from bounded rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_state_of("toxicity")
         lex = Lexicon(*shared.value)
         automaton = lex.automaton()
         for batch in batches:
@@ -278,6 +280,7 @@ def toxicity_filter(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> Da
     shared = docs.sparkSession.sparkContext.broadcast(astuple(lexicon))
 
     def run(batches):
+        only_state_of("toxicity")
         lex = Lexicon(*shared.value)
         automaton = lex.automaton()
         for batch in batches:

@@ -457,3 +457,19 @@ def test_lm_grams_of_large_alphabets():
     big = np.stack([np.arange(60_000, dtype=np.uint32)] * 4, axis=1)
     rows_, n = lm_score._distinct(np.concatenate([big, big[:5]]))
     assert len(rows_) == 60_000 and n.sum() == 60_005 and set(map(tuple, rows_)) == set(map(tuple, big))
+
+
+def test_worker_state_of_other_operators_is_dropped_in_tasks(spark):
+    from murmur.llm.common import only_state_of, worker_state
+
+    def run(rows):
+        import sys
+        worker_state("one a", lambda: list(range(1000)))
+        worker_state("one b", list)
+        both = sorted(n for n in sys._murmur_worker_state if n.startswith("one"))
+        worker_state("two a", list)
+        left = sorted(sys._murmur_worker_state)
+        only_state_of("three")
+        yield both, left, sorted(sys._murmur_worker_state)
+
+    assert spark.sparkContext.parallelize([1], 1).mapPartitions(run).collect() == [(["one a", "one b"], ["two a"], [])]
