@@ -5,9 +5,11 @@ largest power of two that is no more than their length; the hash of that many le
 position of a text one n-gram is hashed for each *group* in use (a term table of lengths 1 to 31 has five), looked up, and
 the units that follow are compared with the whole term, so equal hashes of different n-grams do no harm.
 
-Long texts are dealt as blocks of units that overlap by the longest term, so that no row carries more than a block and
-one text may be searched by many tasks.  A table of at most ``broadcast_bytes`` is broadcast; a larger one is joined by a
-shuffle in which a frequent n-gram is dealt over salts by text and block.  Both ways give the same rows.
+Long texts are dealt as blocks of units that overlap by the longest term, so that no row carries more than a block.  A table
+of at most ``broadcast_bytes`` is broadcast.  A larger one is joined by a shuffle of n-grams, one row for each text and
+n-gram (and a batch of rows): a bitmap of hashes (``BITS_A_TERM`` bits a term, ``MOST_BITS`` at most) first leaves out
+nearly all n-grams that are no term; what it lets through by chance meets no term in the join.  There an n-gram is hashed
+for each *length* in use.  Both ways give the same rows.
 
 Null and empty texts and terms have no units and no hits; equal terms count once; rows with equal ids add up; null ids
 form one group; other columns are ignored; empty tables give no rows.
@@ -15,15 +17,23 @@ form one group; other columns are ignored; empty tables give no rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import sys
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from murmur.functions.text import WORD
+from murmur.operators.neighbours import stored
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])         # executors need no copy of this package
 
 BLOCK = 512
-SALTS = 16
 BROADCAST_BYTES = 32 << 20
+BITS_A_TERM = 16
+MOST_BITS = 1 << 28
 
 
 def words(c: Column) -> Column:
@@ -68,25 +78,136 @@ def _grams(blocks: DataFrame, leads: list[int]) -> DataFrame:
     return blocks.select("id", "block", F.inline(F.concat(*[at(k) for k in leads])))
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Well spread 64-bit hashes of 64-bit values."""
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(33))
+
+
+def _rolled(units: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the ``size`` units that start at each position, from hashes of the units."""
+    n = max(len(units) - size + 1, 0)
+    h = np.full(n, size, np.uint64)
+    for k in range(size):
+        h = h * np.uint64(0x9E3779B97F4A7C15) + units[k:][:n]
+    return _mixed(h)
+
+
+def _places(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two places of a hash in a bitmap of ``bits`` (a power of two, 2**32 at most)."""
+    mask = np.uint64(bits - 1)
+    return h & mask, (h >> np.uint64(32)) & mask
+
+
+def _bitmap(known: DataFrame, terms: int) -> np.ndarray:
+    """Bytes of a bitmap in which the two places of every term are set; each task fills one of its own, at most
+    ``MOST_BITS`` bits, sent as pieces that are not empty and merged by place."""
+    bits = 1 << max(16, min(MOST_BITS.bit_length() - 1, (BITS_A_TERM * terms - 1).bit_length()))
+    piece = 1 << 13                                         # bytes
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros(bits // 8, np.uint8)
+        for b in batches:
+            units, starts, _ = _flat(b.column(0))
+            sizes = np.diff(np.append(starts, len(units)))
+            for size in np.unique(sizes):
+                at = starts[sizes == size]
+                rows = units[at[:, None] + np.arange(size)]
+                h = np.full(len(at), size, np.uint64)
+                for k in range(size):
+                    h = h * np.uint64(0x9E3779B97F4A7C15) + rows[:, k]
+                for place in _places(_mixed(h), bits):
+                    np.bitwise_or.at(own, (place >> np.uint64(3)).astype(np.int64), np.uint8(1) << (place & np.uint64(7)).astype(np.uint8))
+        pieces = own.reshape(-1, min(piece, len(own)))
+        for i in np.flatnonzero(pieces.any(axis=1)):
+            yield pa.RecordBatch.from_arrays([pa.array([int(i)], pa.int32()), pa.array([pieces[i].tobytes()], pa.binary())], ["piece", "bits"])
+
+    def merge(piece: pa.Table) -> pa.Table:
+        whole = np.bitwise_or.reduce([np.frombuffer(x.as_py(), np.uint8) for x in piece.column("bits")])
+        return pa.table({"piece": piece.column("piece")[:1], "bits": pa.array([whole.tobytes()], pa.binary())})
+
+    parts = known.select(_hashes(F.col("wanted"))).mapInArrow(fill, "piece int, bits binary")
+    out = np.zeros((max(1, bits // 8 // piece), min(piece, bits // 8)), np.uint8)
+    for r in parts.groupBy("piece").applyInArrow(merge, "piece int, bits binary").toLocalIterator():
+        out[r["piece"]] = np.frombuffer(r["bits"], np.uint8)
+    return out.reshape(-1)
+
+
+def _hashes(units: Column) -> Column:
+    return F.transform(units, lambda u: F.xxhash64(u))
+
+
+def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Values of all lists, and where each list starts and ends."""
+    offsets = lists.offsets.to_numpy().astype(np.int64)
+    values = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)[offsets[0]:offsets[-1]]
+    return values, offsets[:-1] - offsets[0], offsets[1:] - offsets[0]
+
+
+def _candidates(blocks: DataFrame, sizes: list[int], bitmap: np.ndarray) -> DataFrame:
+    """``id, gram, n``: the n-grams of the ``sizes`` that the bitmap does not rule out, counted in batches of positions."""
+    held = blocks.sparkSession.sparkContext.broadcast(bitmap)
+    bits = 8 * len(bitmap)
+
+    @F.arrow_udf("array<struct<at:int,size:int>>")
+    def likely(hashes: pa.Array, own: pa.Array) -> pa.Array:
+        known = held.value
+        units, starts, ends = _flat(hashes)
+        row = np.repeat(np.arange(len(starts)), ends - starts)
+        at = np.arange(len(units)) - starts[row]
+        left = ends[row] - starts[row] - at
+        inside = at < own.to_numpy(zero_copy_only=False)[row]
+        found = []
+        for size in sizes:
+            here = np.flatnonzero((inside & (left >= size))[:max(len(units) - size + 1, 0)])
+            for part in (0, 1):
+                place = _places(_rolled(units, size)[here], bits)[part]
+                here = here[(known[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8) & np.uint8(1)) == 1]
+            found.append(np.stack([here, np.full(len(here), size)]))
+        here, size = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+        order = np.argsort(here, kind="stable")
+        here, size = here[order], size[order]
+        offsets = np.searchsorted(row[here], np.arange(len(starts) + 1))
+        values = pa.StructArray.from_arrays([pa.array(at[here] + 1, pa.int32()), pa.array(size, pa.int32())], ["at", "size"])
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+
+    met = blocks.select("id", "part", F.explode(likely(_hashes(F.col("part")), F.col("own"))).alias("m"))
+    met = met.select("id", _spelt(F.slice("part", F.col("m.at"), F.col("m.size"))).alias("gram"), F.lit(1).cast("long").alias("n"))
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            t = pa.Table.from_batches([b]).group_by(["id", "gram"]).aggregate([("n", "sum")])
+            yield from t.select(["id", "gram", "n_sum"]).rename_columns(["id", "gram", "n"]).to_batches()
+
+    return met.mapInArrow(counted, met.schema)
+
+
+def _spelt(units: Column) -> Column:
+    """Units as one string, different for different units."""
+    return F.array_join(F.transform(units, lambda u: F.concat(F.length(u), F.lit(":"), u)), "")
+
+
 def term_hits(texts: DataFrame, terms: DataFrame, id_col: str = "id", text_col: str = "text", term: str = "term",
               units: Callable[[Column], Column] = words, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``id, term, n``: the positions at which each term occurs in each text (occurrences may overlap).
 
-    The number, the groups and the size of the terms are one aggregate of the term table; nothing else reaches the driver.
+    The number, the groups, the lengths and the size of the terms are one aggregate of the term table; that and the bitmap
+    of a large one, nothing else, reach the driver.
     """
     known = term_table(terms, units, term)
-    facts = known.agg(F.collect_set("lead").alias("leads"), F.max("size").alias("longest"),
-                      F.sum(F.octet_length("term") + F.lit(64) + 16 * F.col("size")).alias("bytes")).first()
-    leads = sorted(facts["leads"]) or [1]
-    grams = _grams(_blocks(texts, id_col, text_col, units, facts["longest"] or 1), leads)
+    facts = known.agg(F.collect_set("lead").alias("leads"), F.collect_set("size").alias("sizes"), F.count(F.lit(1)).alias("terms"),
+                      F.max("size").alias("longest"), F.sum(F.octet_length("term") + F.lit(64) + 16 * F.col("size")).alias("bytes")).first()
+    longest = facts["longest"] or 1
     if (facts["bytes"] or 0) <= broadcast_bytes:
+        grams = _grams(_blocks(texts, id_col, text_col, units, longest), sorted(facts["leads"]) or [1])
         met = grams.join(F.broadcast(known.drop("lead")), "key")
-    else:
-        dealt = known.drop("lead").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        salt = F.pmod(F.xxhash64("id", "block"), F.lit(SALTS)).cast("int")
-        met = grams.withColumn("salt", salt).join(dealt, ["key", "salt"])
-    return (met.where(F.slice("seen", 1, F.col("size")) == F.col("wanted"))
-            .groupBy("id", "term").agg(F.count(F.lit(1)).alias("n")))
+        return (met.where(F.slice("seen", 1, F.col("size")) == F.col("wanted"))
+                .groupBy("id", "term").agg(F.count(F.lit(1)).alias("n")))
+    known = stored(known.select("term", "wanted"), "terms")
+    grams = _candidates(_blocks(texts, id_col, text_col, units, longest), sorted(facts["sizes"]), _bitmap(known, facts["terms"]))
+    counted = grams.repartition(F.col("gram")).groupBy("id", "gram").agg(F.sum("n").alias("n"))     # one shuffle for count and join
+    return counted.join(known.select("term", _spelt(F.col("wanted")).alias("gram")), "gram").select("id", "term", "n")
 
 
 def term_totals(hits: DataFrame) -> DataFrame:

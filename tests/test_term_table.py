@@ -61,3 +61,22 @@ def test_a_term_table_has_one_group_per_power_of_two(spark):
     t = TT.term_table(terms)
     assert {r["lead"] for r in t.select("lead").distinct().collect()} == {1, 2, 4, 8, 16}
     assert t.where((F.col("lead") > F.col("size")) | (2 * F.col("lead") <= F.col("size"))).count() == 0
+
+
+def test_a_large_table_is_joined_with_one_row_a_text_and_gram(spark):
+    """No n-gram is shuffled more than once a text, and few that are no term are shuffled at all."""
+    texts = spark.createDataFrame([(i, f"the x{i} the y the the") for i in range(50)], "id long, text string")
+    terms = spark.createDataFrame([(t,) for t in ["the", "the y the", "absent"]], "term string")
+    hits = TT.term_hits(texts, terms, broadcast_bytes=0)
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "salt" not in plan and "seen" not in plan
+    assert plan.count("hashpartitioning(gram") == plan.count("hashpartitioning(") == 1
+    totals = {r["term"]: (r["n_texts"], r["n_hits"]) for r in TT.term_totals(hits).collect()}
+    assert totals == {"the": (50, 200), "the y the": (50, 50)}
+
+
+def test_a_full_bitmap_lets_through_and_changes_nothing(spark, monkeypatch):
+    monkeypatch.setattr(TT, "MOST_BITS", 1 << 16)
+    texts = [(1, "a b c d a b"), (2, "c d")]
+    terms = [f"w{i}" for i in range(20_000)] + ["a b", "d", "c d a"]
+    assert _got(spark, texts, terms, broadcast_bytes=0) == {(1, "a b"): 2, (1, "d"): 1, (1, "c d a"): 1, (2, "d"): 1}
