@@ -7,6 +7,8 @@ characters after a gram are the grams one longer, so entropies and splits are jo
 A run of characters is a lattice of dictionary words and single characters; its segmentation is the path of the highest
 probability.  The dictionary goes to the workers as a trie while it has at most ``MAX_WORDS`` words; beyond, the
 lattices come from a join of the substrings of distinct runs with the dictionary table.
+
+Grams are counted in two steps: the longest gram at each position, then the starts of distinct ones.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from murmur.functions import text as TX
+from murmur.operators.neighbours import stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])         # executors need no copy of this package
 
@@ -40,11 +43,12 @@ def learn(texts: DataFrame, text_col: str = "text", run: str = HAN_RUN, max_len:
     runs = (texts.select(F.explode(F.regexp_extract_all(F.col(text_col), F.lit(run), 0)).alias("run"))
             .groupBy("run").agg(F.count(F.lit(1)).alias("n"))
             .withColumn("run", F.concat(F.lit(START), "run", F.lit(END))))
-    size = F.length("run")
-    grams = F.flatten(F.transform(F.sequence(F.lit(1), size), lambda i: F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(max_len + 1), size - i + 1)), lambda k: F.substring(F.col("run"), i, k))))
-    counts = runs.select(F.explode(grams).alias("gram"), "n").groupBy("gram").agg(F.sum("n").alias("n"))
-    counts = counts.withColumn("size", F.length("gram"))
+    # one row a position: every shorter gram that starts there is the start of the longest
+    longest = F.regexp_extract_all("run", F.lit(f"(?s)(?=(.{{1,{max_len + 1}}}))."), 1)
+    windows = runs.select(F.explode(longest).alias("window"), "n").groupBy("window").agg(F.sum("n").alias("n"))
+    starts = F.transform(F.sequence(F.lit(1), F.length("window")), lambda k: F.substring(F.col("window"), F.lit(1), k))
+    counts = windows.select(F.explode(starts).alias("gram"), "n").groupBy("gram").agg(F.sum("n").alias("n"))
+    counts = stored(counts.withColumn("size", F.length("gram")), "grams")       # read for words, splits, entropies and the total
     inner = counts.where(~F.col("gram").contains(START) & ~F.col("gram").contains(END) & (F.col("n") >= min_count))
     total = inner_total(counts)
     word = inner.where((F.col("size") >= 2) & (F.col("size") <= max_len)).select(F.col("gram").alias("word"), "n", "size")
@@ -131,6 +135,7 @@ def weights(dictionary: DataFrame) -> DataFrame:
 def segment_runs(df: DataFrame, dictionary: DataFrame, runs: Column, out: str = "segments", max_words: int | None = None) -> DataFrame:
     """``df`` with the words of each of its ``runs`` (an array of strings), in order, in ``out``; null runs give null."""
     max_words = MAX_WORDS if max_words is None else max_words
+    dictionary = stored(dictionary.select("word", "n"), "dictionary")           # read for the weights, their total and the trie
     words = weights(dictionary)
     total = dictionary.where(F.length("word") > 0).agg(F.sum("n").alias("n")).first()["n"] or 1
     unknown = math.log(UNKNOWN / total)
@@ -167,7 +172,6 @@ def _by_join(df: DataFrame, words: DataFrame, runs: Column, out: str, unknown: f
     longest = F.lit(words.agg(F.max(F.length("word")).alias("m")).first()["m"] or 1)
     rows = df.withColumn("_row", F.struct("*")).withColumn("_runs", runs).select("_row", "_runs")
     rows = rows.withColumn("_no", F.monotonically_increasing_id())
-    from murmur.operators.neighbours import stored
     rows = stored(rows, "runs")                             # row numbers must stay
     runs_ = rows.select(F.explode("_runs").alias("run")).distinct()
     size = F.length("run")

@@ -63,6 +63,24 @@ def test_learnt_words_by_direct_counts(spark):
         assert abs(r["right_entropy"] - h) < 2e-6
 
 
+def test_grams_are_counted_once_from_the_longest_at_each_position(spark, monkeypatch):
+    """Letters beyond the basic plane are whole, short ends count, and the texts are read for one table of grams only."""
+    seen = []
+    kept = segment.stored
+    monkeypatch.setattr(segment, "stored", lambda df, name: seen.append((name, kept(df, name))) or seen[-1][1])
+    texts = ["\U00020000\U00020001ab", "b\U00020000", "ab"] * 3
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    words = segment.learn(df, run="\\p{L}+", max_len=2, min_count=1, min_cohesion=-99.0, min_entropy=-99.0)
+    want = {}
+    for t in texts:
+        t = segment.START + t + segment.END
+        for i in range(len(t)):
+            for k in range(1, min(3, len(t) - i) + 1):
+                want[t[i:i + k]] = want.get(t[i:i + k], 0) + 1
+    assert {r["gram"]: r["n"] for r in seen[0][1].collect()} == want
+    assert "regexp_extract_all" not in words._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_empty_dictionary_and_texts(spark):
     words = spark.createDataFrame([], "word string, n long")
     df = spark.createDataFrame([(1, "中国 ab x"), (2, None), (3, " ")], "id long, text string")
