@@ -158,3 +158,14 @@ def test_compact_day_is_rerunnable(spark, tmp):
         L.compact_day(spark, landing, target, "2024-01-01")
     got = {r.id: r.reposts_count for r in spark.read.parquet(target).collect()}
     assert got == {"1": 50, "2": 6}                      # newest copy of id 1; only that day written
+
+
+def test_messages_are_dealt_over_files_of_a_bounded_size(spark, tmp, monkeypatch):
+    """Five micro-batches, whatever the number of files, and no file or task holds a fifth of the messages."""
+    from murmur.plans import io_queries as Q
+    monkeypatch.setattr(Q, "MESSAGES_A_FILE", 50)
+    Q._message_stream(spark, raw_messages(Q._dealt_texts(spark, SF0001)), tmp)
+    read = spark.read.text(tmp + "/in").select("value", F.input_file_name().alias("f"))
+    sizes = [r["count"] for r in read.groupBy("f").count().collect()]
+    want = spark.read.parquet(f"{SF0001}/events.parquet").count()
+    assert max(sizes) <= 50 and sum(sizes) == want and len(sizes) > 5
