@@ -105,3 +105,48 @@ def test_topic_terms_and_approx_diversity(spark):
     exact = {r.user_id: r.region_diversity_score for r in PR.region_diversity(scored).collect()}
     approx = {r.user_id: r.region_diversity_score for r in PR.region_diversity(scored, approx=True).collect()}
     assert exact == approx                     # HyperLogLog++ is exact at these small cardinalities
+
+
+def _text_reads(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_text_columns_are_computed_before_the_posts_are_joined(spark):
+    """No post carries a text: the documents' texts end below the join."""
+    from murmur.plans import catalog
+    from conftest import SF0001
+    for name in ("tokenize", "rule_features", "score_topic", "score_sentiment"):
+        plan = _text_reads(catalog.queries()[name](spark, SF0001))
+        top = plan[:plan.index("Join")]
+        assert "text#" not in top and "regexp" not in top, name
+
+
+def test_keywords_by_texts_equal_those_by_posts(spark, monkeypatch):
+    import random
+    from murmur.operators import keywords as KW
+    rng = random.Random(8)
+    voc = [f"w{i}" for i in range(60)]
+    texts = [(i, " ".join(rng.choice(voc[:1 + rng.randrange(60)]) for _ in range(rng.randrange(30)))) for i in range(80)] + [(80, None), (3, "extra words w1")]
+    posts = [(rng.choice(["d1", "d2", "d3", None]), rng.randrange(85)) for _ in range(400)] + [("d4", 80), ("d5", 3)]
+    t = spark.createDataFrame(texts, "doc_id long, text string")
+    p = spark.createDataFrame(posts, "dt string, doc_id long")
+    want = sorted(map(str, KW.hot_keywords(p.join(t, "doc_id", "left"), k=4).collect()))
+    kept, sizes = KW.stored, {}
+    monkeypatch.setattr(KW, "stored", lambda df, name: sizes.setdefault(name, kept(df, name)))
+    monkeypatch.setattr(KW, "FIRST_TERMS", 8)
+    assert sorted(map(str, KW.hot_keywords(p, k=4, texts=t).collect())) == want
+    sizes.clear()
+    busy = p.where("dt IN ('d1', 'd2')")
+    want = sorted(map(str, KW.hot_keywords(busy.join(t, "doc_id", "left"), k=4).collect()))
+    assert sorted(map(str, KW.hot_keywords(busy, k=4, texts=t).collect())) == want
+    assert sizes["candidates"].count() < sizes["totals"].count()
+
+
+def test_spam_features_are_the_same_in_two_steps(spark):
+    from murmur.operators import features as FT, spam as SP
+    df = spark.createDataFrame([("free token share", 1, 2, 3), (None, 2000, 1, 1), ("", 0, 0, 0)], "text string, reposts_count int, comments_count int, attitudes_count int")
+    two = FT.counter_features(SP.spam_text_features(df))
+    one = SP.spam_features(df)
+    assert sorted(map(str, two.select(*one.columns).collect())) == sorted(map(str, one.collect()))
+    r = FT.rule_features(df).where("text = ''").first()
+    assert (r["text_length"], r["engagement"], r["engagement_ratio"]) == (0, 0, 0.0)
