@@ -90,3 +90,35 @@ def test_single_parse_equals_fieldwise_extraction(spark):
     one = raw.select(*post_fields(F.col("json_data")))
     many = raw.select(*post_fields_fieldwise(F.col("json_data")))
     assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0
+
+
+def test_copies_alone_are_shuffled(spark):
+    import io
+    from contextlib import redirect_stdout
+    from murmur.operators import dedup
+    from murmur.operators.dedup import latest_of_repeated, latest_per_key
+    rows = [(str(i % 900), f"2024-01-01 10:{i % 7:02d}", f"text {i % 450}") for i in range(1000)] + [("7", "2024-01-01 10:06", "text 7")] * 2
+    df = spark.createDataFrame(rows, "id string, created_at string, text string")
+    want = latest_per_key(df, ["id"], "created_at").collect()
+    for most in (10, dedup.BROADCAST_KEYS):
+        before, dedup.BROADCAST_KEYS = dedup.BROADCAST_KEYS, most
+        try:
+            got = latest_of_repeated(df, ["id"], "created_at").collect()
+        finally:
+            dedup.BROADCAST_KEYS = before
+        assert sorted(got) == sorted(want)
+    alone = df.dropDuplicates(["id"]).localCheckpoint()
+    msgs = [json.dumps({"id": r.id, "created_at": r.created_at, "text": r.text}) for r in alone.collect()]
+    shown = io.StringIO()
+    with redirect_stdout(shown):
+        C.clean_posts(C.parse_posts(_raw(spark, msgs)), FIXTURE).explain()
+    assert "Exchange" not in shown.getvalue()               # no text moves if no id has a copy
+
+
+def test_messages_and_texts_are_worked_on_once(spark):
+    msgs = [json.dumps({"id": "1", "text": "a text that stays @you"}), "{not json", json.dumps({"id": "2", "text": "short"})]
+    out = C.clean_text(C.parse_posts(_raw(spark, msgs)).where("id IS NOT NULL"), REFERENCE.with_(blocklist=("qq", "zz")))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1 and plan.count("regexp_replace") == 1
+    assert [(r.id, r.text) for r in out.collect()] == [("1", "a text that stays ")]
+    assert C.parse_posts(_raw(spark, [*msgs, None])).where("id IS NULL AND vip_level IS NULL").count() == 2
