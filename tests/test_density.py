@@ -161,3 +161,25 @@ def test_query_groups_are_bounded(spark, monkeypatch):
     one = {tuple(r) for r in neighbours.neighbours(neighbours.lists(rows, 3, None, 1), 3, 4).collect()}
     monkeypatch.setattr(neighbours, "GROUP_BYTES", 24 * 30)             # 30 queries a scan
     assert {tuple(r) for r in neighbours.neighbours(neighbours.lists(rows, 3, None, 1), 3, 4).collect()} == one
+
+
+def test_memory_of_a_scan_does_not_grow_with_queries_or_rows():
+    import tracemalloc
+    import numpy as np
+    import pyarrow as pa
+    from murmur.operators import density, neighbours
+    dims, n = 4, 6000
+    v = np.random.default_rng(2).random(n * dims)
+    vectors = pa.ListArray.from_arrays(np.arange(0, n * dims + 1, dims, dtype=np.int32), pa.array(v))
+    zeros = pa.array(np.zeros(n, dtype=np.int32))
+    probe = pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32), zeros)
+    ids = np.arange(n)
+    batch = pa.RecordBatch.from_pydict({"id": ids, "v": vectors, "list": zeros, "probe": probe, "comp": ids % 7, "core": np.zeros(n)})
+    asked = pa.Table.from_batches([batch]).slice(0, 1500)
+    for work in (neighbours._nearest(dims, 5), density._outside(dims)):
+        tracemalloc.start()
+        found = sum(b.num_rows for b in work(asked, iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert found >= 1500 and peak < 8 * 8 * neighbours.CELLS
+    assert list(neighbours.chunks(5, neighbours.CELLS // 2)) == [(0, 2), (2, 4), (4, 5)]
