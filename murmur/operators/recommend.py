@@ -53,12 +53,12 @@ def candidate_scored(pool: DataFrame, sentiment: DataFrame, floor: float = 0.5,
                      hot_weight: float = 0.6, score_weight: float = 0.4) -> DataFrame:
     """final = 0.6 * minmax(hot) + 0.4 * score, kept when >= ``floor``.
 
-    The global min and max are scalar subqueries (one tiny aggregate job,
-    no driver round trip, no cross join); the range falls back to 1 when
-    below 1e-9.
+    The joined pool is stored, as its min and max (scalar subqueries, no
+    cross join) and its rows are read from it; the range falls back to 1
+    when below 1e-9.
     """
     s = sentiment.select("id", "score", "reposts_count", "comments_count", "attitudes_count")
-    raw = pool.join(s, "id", "left").withColumn("hot_score", _hot_score())
+    raw = cut(pool.join(s, "id", "left").withColumn("hot_score", _hot_score()).select(*pool.columns, "score", "hot_score"))
     hs_min = raw.select(F.min("hot_score")).scalar()
     hs_max = raw.select(F.max("hot_score")).scalar()
     rng = F.when(hs_max - hs_min < 1e-9, F.lit(1.0)).otherwise(hs_max - hs_min)

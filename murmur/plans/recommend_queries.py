@@ -10,6 +10,7 @@ from murmur.operators import recommend as RC
 from murmur.plans.oracle import in_list, q, sround, with_posts
 from murmur.plans.profile_queries import PROFILE_CTES
 from murmur.plans.registry import register
+from murmur.session import cut
 from murmur.sources.posts_view import attach_text, posts_view, posts_with_text, sentiment_table, topic_table
 from murmur.vocab import FIXTURE as V
 
@@ -47,7 +48,7 @@ def _recommend(s, d, model=False, personal=False):
     if personal:
         clusters = _personal(scored)
     elif model:
-        seg = CL.segment_users(CL.user_features(scored, V), V)
+        seg = cut(CL.segment_users(CL.user_features(scored, V), V))      # read by each step of the fit and by the profile
         clusters = CL.cluster_profile(seg, CL.assign_clusters(CL.fit_clusters(seg), seg))
     else:
         clusters = CL.cluster_users(scored, V)

@@ -177,3 +177,23 @@ def test_null_author_posts_do_not_force_fallback(spark):
     cl = spark.createDataFrame([(str(x), 0.25, 0.25, 0.25, 0.25) for x in range(10)],
                                "user_id string, prob_0 double, prob_1 double, prob_2 double, prob_3 double")
     assert _rows(_topn(c, u, cl, False, 15)) == _rows(_topn(c, u, cl, True, 15))
+
+
+def test_features_of_the_mixture_are_computed_once(spark, monkeypatch):
+    from murmur.operators import clusters
+    from murmur.plans import catalog
+    from conftest import SF0001
+    seen, fit = [], clusters.fit_clusters
+    monkeypatch.setattr(clusters, "fit_clusters", lambda seg, **kw: seen.append(seg) or fit(seg, **kw))
+    catalog.queries()["recommend_topn_gmm"](spark, SF0001)
+    assert "parquet" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()     # no step of the fit reads the tables
+
+
+def test_pool_is_joined_to_its_scores_once(spark):
+    from murmur.operators import recommend
+    pool = spark.createDataFrame([(str(i), "a", "e") for i in range(6)], "id string, author_id string, topic_label string")
+    scored = spark.createDataFrame([(str(i), i / 6, 10 * i, 0, 0) for i in range(5)],
+                                   "id string, score double, reposts_count int, comments_count int, attitudes_count int")
+    out = recommend.candidate_scored(pool, scored)
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()            # min, max and rows read what is stored
+    assert sorted(r["id"] for r in out.collect()) == ["2", "3", "4"]
