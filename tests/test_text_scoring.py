@@ -150,3 +150,24 @@ def test_spam_features_are_the_same_in_two_steps(spark):
     assert sorted(map(str, two.select(*one.columns).collect())) == sorted(map(str, one.collect()))
     r = FT.rule_features(df).where("text = ''").first()
     assert (r["text_length"], r["engagement"], r["engagement_ratio"]) == (0, 0, 0.0)
+
+
+def test_spam_vectors_stay_sparse_and_the_model_is_that_of_centred_ones(spark):
+    from pyspark.ml.linalg import SparseVector
+    rows = [(f"w{i % 7} w{i % 5} x{i} promo", i, i % 3, i % 4, float(i % 3 > 0)) for i in range(60)]
+    df = spark.createDataFrame(rows, "text string, reposts_count int, comments_count int, attitudes_count int, label double")
+    words = SP.spam_features(df)
+    dense = SP.spam_pipeline(max_iter=4).fit(words)
+    model = SP.fit_spam_model(words, max_iter=4)
+    hashed = SP.hash_words(words)
+    assert "words" not in hashed.columns
+    again = SP.fit_spam_model(hashed, max_iter=4)
+    margin = lambda df: {r["text"]: r["rawPrediction"][1] for r in df.select("text", "rawPrediction").collect()}
+    want = margin(dense.transform(words))
+    assert len(want) == 60
+    for got in (model.transform(words), SP.judge(words, again), SP.judge(hashed, model)):
+        assert isinstance(got.first()["scaled_features"], SparseVector)
+        assert margin(got) == pytest.approx(want, rel=1e-9, abs=1e-9)
+    train, test = SP.train_test_split(df)
+    marked = df.withColumn("held", SP.held_out())
+    assert {r["text"] for r in marked.where("held").collect()} == {r["text"] for r in test.collect()} and train.count() + test.count() == 60
