@@ -315,17 +315,19 @@ def _phrases(docs):
     return w.select(F.explode(cuts).alias("term")).distinct()
 
 
-def _doc_term_hits(s, d):
+def _term_totals(s, d):
     docs = ensure_parallelism(table(s, d, "documents").select("doc_id", "text"))
-    return TT.term_hits(docs, _phrases(docs), id_col="doc_id")
+    return TT.text_totals(docs, _phrases(docs), id_col="doc_id")
 
 
 def _term_table_trend(s, d):
-    """Each document is searched once; a day's hits are those of its documents times their posts."""
+    """Each document is searched once; a day's hits are those of its documents times their posts.  Days go as numbers."""
     posts = with_doc_id(s, d, posts_view(s, d, vocab=V).select("id", "dt"))
-    days = posts.groupBy("dt", "doc_id").agg(F.count(F.lit(1)).alias("posts"))
-    hits = _doc_term_hits(s, d).withColumnRenamed("id", "doc_id")
-    return days.join(hits, "doc_id").groupBy("dt", "term").agg(F.sum(F.col("posts") * F.col("n")).alias("hits"))
+    days = posts.groupBy("doc_id", "dt").agg(F.count(F.lit(1)).alias("posts"))
+    days = days.groupBy("doc_id").agg(F.collect_list(F.struct(F.unix_date(F.to_date("dt")).alias("group"), F.col("posts").alias("weight"))).alias("groups"))
+    docs = ensure_parallelism(table(s, d, "documents").select("doc_id", "text"))
+    hits = TT.group_hits(docs.join(days, "doc_id"), _phrases(docs))
+    return hits.select(F.date_format(F.date_from_unix_date("group"), "yyyy-MM-dd").alias("dt"), "term", "hits")
 
 
 _phrase_ctes = f"""words AS MATERIALIZED (SELECT doc_id, regexp_extract_all(text, {q(WORD)}) AS w FROM documents),
@@ -341,7 +343,7 @@ hits AS MATERIALIZED (SELECT doc_id, term, count(*) AS n FROM grams JOIN terms U
 
 register("term_hits", f"""WITH {_phrase_ctes}
 SELECT term, count(*) AS n_texts, CAST(sum(n) AS BIGINT) AS n_hits FROM hits GROUP BY term""")(
-    lambda s, d: TT.term_totals(_doc_term_hits(s, d)))
+    _term_totals)
 register("term_table_trend", with_posts("""SELECT dt, term, CAST(sum(p.posts * h.n) AS BIGINT) AS hits
 FROM (SELECT dt, CAST(id AS BIGINT) % (SELECT count(*) FROM documents) AS doc_id, count(*) AS posts FROM posts GROUP BY ALL) p
 JOIN hits h USING (doc_id) GROUP BY dt, term""", V, extra_ctes=_phrase_ctes))(_term_table_trend)

@@ -80,3 +80,48 @@ def test_a_full_bitmap_lets_through_and_changes_nothing(spark, monkeypatch):
     texts = [(1, "a b c d a b"), (2, "c d")]
     terms = [f"w{i}" for i in range(20_000)] + ["a b", "d", "c d a"]
     assert _got(spark, texts, terms, broadcast_bytes=0) == {(1, "a b"): 2, (1, "d"): 1, (1, "c d a"): 1, (2, "d"): 1}
+
+
+def _random_texts(seed):
+    rng = random.Random(seed)
+    voc = ["a", "b", "Ä", "д1", "long"]
+    texts = [(i, " ".join(rng.choice(voc) for _ in range(n))) for i, n in enumerate([0, 1, 2, 7, 40, TT.BLOCK, TT.BLOCK + 1, 3 * TT.BLOCK + 5, 11, 12])]
+    terms = [" ".join(rng.choice(voc) for _ in range(n)) for n in (1, 2, 3, 5, 9) for _ in range(6)]
+    return texts, terms + [None, "", "...", "a, b", "a b", "absent here"]
+
+
+@pytest.mark.parametrize("units, cells, few", [(1 << 18, 1 << 23, 10), (30, 40, 10), (30, 40, 0)])
+def test_totals_without_a_row_a_text(spark, monkeypatch, units, cells, few):
+    """Runs of few units, few sums at a time; ids that come twice and are null count once."""
+    monkeypatch.setattr(TT, "UNITS", units)
+    monkeypatch.setattr(TT, "CELLS", cells)
+    monkeypatch.setattr(TT, "FEW_IDS", few)
+    texts, terms = _random_texts(3)
+    texts += [(3, "a, b; a"), (None, "b b b"), (None, "b a"), (20, None), (21, " .,!")]
+    df, tt = spark.createDataFrame(texts, "id long, text string").coalesce(2), spark.createDataFrame([(t,) for t in terms], "term string")
+    want = {}
+    for (_, t), n in _brute(texts, terms, lambda x: re.findall(r"[^\W_]+", x)).items():
+        want[t] = (want.get(t, (0, 0))[0] + 1, want.get(t, (0, 0))[1] + n)
+    got = {r["term"]: (r["n_texts"], r["n_hits"]) for r in TT.text_totals(df, tt).collect()}
+    assert got == want
+    assert TT.text_totals(df.limit(0), tt).count() == TT.text_totals(df, tt.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("units, cells", [(1 << 18, 1 << 23), (30, 40)])
+def test_hits_of_groups(spark, monkeypatch, units, cells):
+    monkeypatch.setattr(TT, "UNITS", units)
+    monkeypatch.setattr(TT, "CELLS", cells)
+    texts, terms = _random_texts(4)
+    groups = lambda i: [(200 * k - 100 if k else None, 100 * k + 1) for k in range(i % 4)]
+    rows = [(i, text, groups(i)) for i, text in texts] + [(3, "a b a", groups(2)), (None, "b", groups(3)), (8, None, groups(1)), (9, "a b", None)]
+    df = spark.createDataFrame(rows, "id long, text string, groups array<struct<group:int,weight:bigint>>").coalesce(2)
+    tt = spark.createDataFrame([(t,) for t in terms], "term string")
+    want = {}
+    for i, (_, text, days) in enumerate(rows):
+        for (_, t), n in _brute([(i, text)], terms, lambda x: re.findall(r"[^\W_]+", x)).items():
+            for day, weight in days or []:
+                want[day, t] = want.get((day, t), 0) + n * weight
+    out = TT.group_hits(df, tt)
+    assert {(r["group"], r["term"]): r["hits"] for r in out.collect()} == want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(id" not in plan and "hashpartitioning(term" not in plan
